@@ -42,7 +42,7 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the maximal runs of characters other than ASCII white space; null text: empty array."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")
 
 
 def map_texts(
