@@ -31,6 +31,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a narrow table that may be broadcast.
+SMALL_ROWS = 50_000
+
+
+def small_or_shuffled(df: DataFrame) -> DataFrame:
+    """``df``, a narrow table behind :func:`cut_lineage`, with a broadcast hint if its rows, counted, are few."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,8 +14,8 @@ Two base rules stay fixed: too few words, and too many words in windows that occ
 Scale: texts are read once and measured in place, all by expressions over arrays of one document:
 windows are 64-bit hashes, distinct ones are counted in linear time, and only documents with a
 repeated hash sort theirs (equal hashes are confirmed word by word). What is shuffled are bucket
-counts, pre-aggregated in each task. The thresholds (one row a language and source) are joined without
-a hint: Spark broadcasts them only if their measured size allows, and splits skewed joins otherwise.
+counts, pre-aggregated in each task. The thresholds (one row a language and source) are counted and
+broadcast only if they are few; otherwise the join is shuffled, and Spark splits its skewed keys.
 
 Defined cases: null text has no words and fails the base rules; null languages and sources are
 groups of their own; repeated rows are judged alike and counted each; an empty table gives an empty
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, words
+from .common import cut_lineage, small_or_shuffled, words
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -53,8 +53,11 @@ def _repeated_words(w: Column, hashes: Column) -> Column:
 
     def cover(s: Column) -> Column:
         def same(x: Column, other: Column) -> Column:
-            there = lambda e: F.slice(w, e["i"] + 1, F.lit(WINDOW))
-            return (x["h"] == other["h"]) & (there(x) == there(other))
+            equal = x["h"] == other["h"]
+            # Word by word: a slice would copy the whole array each time.
+            for k in range(WINDOW):
+                equal &= F.get(w, x["i"] + k) == F.get(w, other["i"] + k)
+            return equal
 
         def twice(x: Column, j: Column) -> Column:
             before = F.when(j > 0, same(x, F.get(s, j - 1))).otherwise(False)
@@ -165,7 +168,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """``id_col``, the counts, base_failed and kept of every document."""
     measured = cut_lineage(measure(docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.col(text_col).alias("_t")), ["_id", "_lang", "_source"], "_t"))
     table = cut_lineage(thresholds(sketches(measured, "_lang", "_source")))
-    joined = measured.join(table, F.col("_lang").eqNullSafe(F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")))
+    joined = measured.join(small_or_shuffled(table), F.col("_lang").eqNullSafe(F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")))
     within = F.lit(True)
     for i, (m, below, above) in enumerate(MEASURES):
         if below is not None:
