@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 
+import numpy as np
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -69,6 +70,10 @@ class WordIds:
         split = ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         self.known = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and split.get("pattern", {}).get("Regex") == WORD_PATTERN
         self.find = regex.compile(WORD_PATTERN).findall
+        suffix = config["model"].get("end_of_word_suffix") or ""
+        self.is_end = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
+        if suffix:
+            self.is_end[[i for t, i in config["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.strings: dict[str, bytes] = {}
         self.pre: dict[str, bytes] = {}
 
@@ -80,24 +85,40 @@ class WordIds:
         if not self.known or not _PLAIN.fullmatch(text) or any(s in text for s in self.specials):
             return self._library([text])[0]
         strings = text.lower().split()
-        try:
-            return b"".join(map(self.strings.__getitem__, strings))
-        except KeyError:
-            self._learn({s for s in strings if s not in self.strings})
-            out = b"".join(map(self.strings.__getitem__, strings))
-            if len(self.strings) > TABLE_LIMIT:
-                self.strings.clear()
-            if len(self.pre) > TABLE_LIMIT:
-                self.pre.clear()
-            return out
+        if new := set(strings).difference(self.strings):
+            self._learn(new)
+        out = b"".join(map(self.strings.__getitem__, strings))
+        if len(self.strings) > TABLE_LIMIT:
+            self.strings.clear()
+        if len(self.pre) > TABLE_LIMIT:
+            self.pre.clear()
+        return out
 
     def _learn(self, new: set[str]) -> None:
-        parts = {s: self.find(s) for s in new}
-        unknown = sorted({p for v in parts.values() for p in v if p not in self.pre})
-        self.pre.update(zip(unknown, self._library(unknown), strict=True))
+        # A string of letters alone is one pre-token.
+        whole = [s for s in new if s.isalpha()]
+        parts = {s: self.find(s) for s in new.difference(whole)}
+        unknown = {p for v in parts.values() for p in v}.union(whole).difference(self.pre)
+        if unknown:
+            self._merge(sorted(unknown))
+        for s in whole:
+            self.strings[s] = self.pre[s]
         for s, v in parts.items():
             self.strings[s] = b"".join([self.pre[p] for p in v])
 
+    def _merge(self, unknown: list[str]) -> None:
+        """Ids of pre-tokens, from one call for all: white space keeps them apart, and the last token
+        of each is one that ends a word."""
+        ids = np.array(self.library.encode(" ".join(unknown), add_special_tokens=False).ids, "<u4")
+        ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
+        if len(ends) != len(unknown) or (len(ids) and ends[-1] != 4 * len(ids)):
+            self.pre.update(zip(unknown, self._library(unknown), strict=True))
+            return
+        data, at = ids.tobytes(), 0
+        for p, end in zip(unknown, ends.tolist(), strict=True):
+            self.pre[p] = data[at:end]
+            at = end
+
 
 class ByteCounts:
     def __init__(self, path: str):
