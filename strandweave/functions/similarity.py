@@ -1,11 +1,13 @@
 """Similarity of strings and token sets.
 
-Set measures, the character multiset ratio and n-gram cosines are column expressions. Jaro-Winkler
-and the two token ratios need sequence matching and share one vectorised Python function.
+Set measures and the character multiset ratio are column expressions. Jaro-Winkler, the two token
+ratios and the n-gram cosine share one vectorised Python function.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -46,20 +48,6 @@ def char_ratio(a: Column, b: Column) -> Column:
     return _guarded(a, b, F.try_divide(2.0 * shared, F.length(a) + F.length(b)))
 
 
-def gram_cosine(a: Column, b: Column, n: int = 3) -> Column:
-    """Cosine of the n-gram counts; texts shorter than n only match if equal without white space."""
-    bare = lambda s: F.regexp_replace(s, rf"[{SPACE}]+", "")
-    short = (F.length(bare(a)) < n) | (F.length(bare(b)) < n)
-    # Sums of squared counts are sums over the grams of how often each occurs.
-    count = lambda g, x: F.size(F.filter(g, lambda y: y == x))
-    def dot(g: Column, h: Column) -> Column:
-        return F.aggregate(F.array_distinct(g), F.lit(0).cast("long"), lambda s, x: s + count(g, x).cast("long") * count(h, x))
-
-    ga, gb = grams(a, n), grams(b, n)
-    cosine = F.try_divide(dot(ga, gb).cast("double"), F.sqrt(dot(ga, ga)) * F.sqrt(dot(gb, gb)))
-    return _guarded(a, b, F.when(short, (bare(a) == bare(b)).cast("double")).otherwise(cosine))
-
-
 def length_gap(a: Column, b: Column) -> Column:
     return F.abs(F.length(a) - F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
@@ -127,7 +115,23 @@ def token_set(a: str, b: str) -> float:
     return max(scores)
 
 
-SEQUENCE_FIELDS = ["name_jaro_winkler", "name_token_sort", "name_token_set", "addr_jaro_winkler", "addr_token_sort"]
+def gram_cosine(a: str, b: str, n: int = 3) -> float:
+    """Cosine of the n-gram counts; texts shorter than n only match if equal without white space."""
+    known = _equal_or_empty(a, b)
+    if known is not None:
+        return known
+    a, b = ("".join(s.split()) for s in (a, b))
+    if min(len(a), len(b)) < n:
+        return float(a == b)
+    x, y = (Counter(s[i : i + n] for i in range(len(s) - n + 1)) for s in (a, b))
+    norm = lambda v: math.sqrt(sum(c * c for c in v.values()))
+    return sum(c * y[g] for g, c in x.items() if g in y) / (norm(x) * norm(y))
+
+
+SEQUENCE_FIELDS = [
+    "name_jaro_winkler", "name_token_sort", "name_token_set", "name_char3_cosine",
+    "addr_jaro_winkler", "addr_token_sort", "addr_char3_cosine",
+]
 
 
 @F.pandas_udf(T.StructType([T.StructField(f, T.DoubleType()) for f in SEQUENCE_FIELDS]))
@@ -138,7 +142,9 @@ def sequence_measures(n1: pd.Series, n2: pd.Series, a1: pd.Series, a2: pd.Series
         [jaro_winkler(*p) for p in names],
         [token_sort(*p) for p in names],
         [token_set(*p) for p in names],
+        [gram_cosine(*p) for p in names],
         [jaro_winkler(*p) for p in addresses],
         [token_sort(*p) for p in addresses],
+        [gram_cosine(*p) for p in addresses],
     ]
     return pd.DataFrame(dict(zip(SEQUENCE_FIELDS, columns, strict=True)))

@@ -23,9 +23,11 @@ FEATURE_NAMES = [
 
 
 def joined_pairs(pairs: DataFrame, queries: DataFrame, pool: DataFrame) -> DataFrame:
-    """Pairs with the normalised columns of both sides as ``l_*`` and ``r_*``."""
+    """Pairs with the normalised columns and three-grams of both sides as ``l_*`` and ``r_*``."""
     side = lambda df, key, name, p: df.select(F.col(key).alias(name), *[F.col(c).alias(f"{p}_{c}") for c in NORMAL_COLUMNS])
-    return pairs.join(side(queries, "row_id", "q_row", "l"), "q_row").join(side(pool, "cand_idx", "cand_idx", "r"), "cand_idx")
+    joined = pairs.join(side(queries, "row_id", "q_row", "l"), "q_row").join(side(pool, "cand_idx", "cand_idx", "r"), "cand_idx")
+    # Columns of their own, since each is used several times.
+    return joined.withColumns({f"{s}_{p}_grams": F.array_distinct(S.grams(F.col(f"{s}_{c}"))) for s in "lr" for p, c in (("name", "n_text"), ("addr", "a_text"))})
 
 
 def native_features() -> dict[str, Column]:
@@ -47,8 +49,7 @@ def native_features() -> dict[str, Column]:
         out |= {
             f"{p}_token_jaccard": S.jaccard(*both(tokens)),
             f"{p}_overlap_coeff": S.overlap_coefficient(*both(tokens)),
-            f"{p}_char3_jaccard": S.jaccard(*map(S.grams, both(text))),
-            f"{p}_char3_cosine": S.gram_cosine(*both(text)),
+            f"{p}_char3_jaccard": S.jaccard(F.col(f"l_{p}_grams"), F.col(f"r_{p}_grams")),
             f"{p}_seq_ratio": S.char_ratio(*both(text)),
             f"{p}_len_diff_ratio": S.length_gap(*both(text)),
         }

@@ -130,17 +130,26 @@ def _ratio(a: str, b: str) -> str:
     return f"case when {a} = '' or {b} = '' then 0.0 when {a} = {b} then 1.0 else 2.0::double * {shared} / (length({a}) + length({b})) end"
 
 
-def _dot(g: str, h: str) -> str:
-    return f"list_sum(list_transform(list_distinct({g}), lambda x: len(list_filter({g}, lambda y: y = x)) * len(list_filter({h}, lambda y: y = x))))::double"
-
-
-def _cosine(a: str, b: str, ga: str, gb: str) -> str:
+def _cosine(a: str, b: str) -> str:
     return (
         f"case when {a} = '' or {b} = '' then 0.0 when {a} = {b} then 1.0 when length({_bare(a)}) < 3 or length({_bare(b)}) < 3 then ({_bare(a)} = {_bare(b)})::int::double"
-        f" else {_dot(ga, gb)} / (sqrt({_dot(ga, ga)}) * sqrt({_dot(gb, gb)})) end"
+        f" else coalesce((select d from dots where dots.a = {a} and dots.b = {b}), 0) end"
     )
 
 
+#: Cosines of the gram counts, by pair of texts.
+DOTS = f"""
+text_pairs as (select distinct l_n as a, r_n as b from sides union select distinct l_a, r_a from sides),
+gram_counts as (
+  select t, g, count(*) as n from (
+    select t, unnest({_grams("t")}) as g from (select a as t from text_pairs union select b from text_pairs)) group by all),
+norms as (select t, sqrt(sum(n * n)::double) as norm from gram_counts group by t),
+dots as (
+  select a, b, sum(x.n * y.n)::double / (any_value(na.norm) * any_value(nb.norm)) as d
+  from text_pairs join gram_counts x on x.t = a join gram_counts y on y.t = b and x.g = y.g
+  join norms na on na.t = a join norms nb on nb.t = b group by a, b)"""
+
+
 SIDES = f"""
 sides as (
   select p.*, l.n_text as l_n, r.n_text as r_n, l.n_tokens as l_t, r.n_tokens as r_t, l.n_compact as l_c, r.n_compact as r_c,
@@ -177,13 +186,14 @@ def _with(*parts: str) -> str:
 
 
 def _grid(weights, final: str) -> str:
-    cells = f"(select unnest({weights}) as weight), (select unnest({THRESHOLDS}) as threshold)"
+    doubles = lambda xs: f"{[repr(x) for x in xs]}::double[]"
+    cells = f"(select unnest({doubles(weights)}) as weight), (select unnest({doubles(THRESHOLDS)}) as threshold)"
     return f"""{_with(base(), MATCHES, SIDES, BLEND, TRUTH)},
 cells as (select * from {cells}),
 ids as (select distinct s1_id from blend),
 preds as (
   select c.weight, c.threshold, b.s1_id, count(distinct b.cand_id) as n_pred, count(distinct t.cand_id) as hits
-  from cells c join blend b on c.weight * b.prob_a + (1.0 - c.weight) * b.prob_b >= c.threshold
+  from cells c join blend b on c.weight * b.prob_a + (1.0::double - c.weight) * b.prob_b >= c.threshold
   left join truth t on b.s1_id = t.s1_id and b.cand_id = t.cand_id group by all),
 filled as (
   select c.weight, c.threshold, i.s1_id, coalesce(t.n, 0) as n_true, coalesce(p.n_pred, 0) as n_pred, coalesce(p.hits, 0) as hits
@@ -198,9 +208,9 @@ def _rule(number: int) -> str:
     return f"{_with(base(), MATCHES)} select q_row, cand_idx, count(*) as hits from matches where rule = {number} group by q_row, cand_idx {least}"
 
 
-def _features(columns: dict[str, str]) -> str:
+def _features(columns: dict[str, str], *more: str) -> str:
     made = ", ".join(f"round({v}, 6) as {k}" for k, v in columns.items())
-    return f"{_with(base(), MATCHES, SIDES)} select q_row, cand_idx, {made} from sides"
+    return f"{_with(base(), MATCHES, SIDES, *more)} select q_row, cand_idx, {made} from sides"
 
 
 _same = lambda a, b: f"({a} <> '' and {a} = {b})::int::double"
@@ -259,7 +269,7 @@ ORACLE_SQL = {
     "q_feat_jaccard_overlap": _features({"name_token_jaccard": _jaccard("l_t", "r_t"), "name_token_overlap_cnt": "len(list_intersect(l_t, r_t))::double", "name_overlap_coeff": _overlap("l_t", "r_t"), "addr_token_jaccard": _jaccard("l_at", "r_at"), "addr_overlap_coeff": _overlap("l_at", "r_at")}),
     "q_feat_3gram_jaccard": _features({"name_char3_jaccard": _jaccard("l_ng", "r_ng"), "addr_char3_jaccard": _jaccard("l_ag", "r_ag")}),
     "q_feat_quick_ratio": _features({"name_seq_ratio": _ratio("l_n", "r_n"), "addr_seq_ratio": _ratio("l_a", "r_a")}),
-    "q_feat_cosine": _features({"name_char3_cosine": _cosine("l_n", "r_n", "l_ng", "r_ng"), "addr_char3_cosine": _cosine("l_a", "r_a", "l_ag", "r_ag")}),
+    "q_feat_cosine": _features({"name_char3_cosine": _cosine("l_n", "r_n"), "addr_char3_cosine": _cosine("l_a", "r_a")}, DOTS),
     "q_feat_structured": _features({"postal_match": _agree("l_p", "r_p"), "num_word_match": _agree("l_w", "r_w")}),
     "q_feat_reason_flags": _features({"blocking_score": "len(string_split(reasons, ','))::double", **{f"reason_{r}": f"list_contains(string_split(reasons, ','), '{r}')::int::double" for r in RULES}}),
     "q_recall_ceiling": f"{_with(base(), MATCHES, TRUTH)} select (select count(*) from pairs p semi join truth t using (s1_id, cand_id)) as retrieved, (select count(*) from truth) as total_positives, round((select count(*) from pairs p semi join truth t using (s1_id, cand_id))::double / (select count(*) from truth), 9) as recall",

@@ -127,10 +127,19 @@ def _feature_query(names: list[str]):
     return query
 
 
-def q_feat_jw_sort_set(spark, d):
-    queries, pool = adapters.linked_sides(spark, d)
-    made = features.pair_features(blocking.candidate_pairs(queries, pool), queries, pool)
-    return _rounded(made.select("q_row", "cand_idx", *similarity.SEQUENCE_FIELDS), similarity.SEQUENCE_FIELDS)
+def _sequence_query(names: list[str]):
+    def query(spark, d):
+        queries, pool = adapters.linked_sides(spark, d)
+        pairs = features.joined_pairs(blocking.candidate_pairs(queries, pool), queries, pool)
+        made = pairs.withColumn("_s", similarity.sequence_measures("l_n_text", "r_n_text", "l_a_text", "r_a_text"))
+        return made.select("q_row", "cand_idx", *[F.round(f"_s.{n}", 6).alias(n) for n in names])
+
+    return query
+
+
+COSINES = ["name_char3_cosine", "addr_char3_cosine"]
+q_feat_cosine = _sequence_query(COSINES)
+q_feat_jw_sort_set = _sequence_query([f for f in similarity.SEQUENCE_FIELDS if f not in COSINES])
 
 
 def _blend(spark, d):
@@ -257,7 +266,6 @@ FEATURES = {
     "q_feat_jaccard_overlap": ["name_token_jaccard", "name_token_overlap_cnt", "name_overlap_coeff", "addr_token_jaccard", "addr_overlap_coeff"],
     "q_feat_3gram_jaccard": ["name_char3_jaccard", "addr_char3_jaccard"],
     "q_feat_quick_ratio": ["name_seq_ratio", "addr_seq_ratio"],
-    "q_feat_cosine": ["name_char3_cosine", "addr_char3_cosine"],
     "q_feat_structured": ["postal_match", "num_word_match"],
     "q_feat_reason_flags": ["blocking_score", *[f"reason_{r}" for r in blocking.RULES]],
 }
@@ -267,10 +275,12 @@ QUERIES = {
     **{f"q_rule_{name}": _rule_query(rule) for name, rule in blocking.RULES.items()},
     **{f.__name__: f for f in (q_block_scores, q_top15_candidates, q_reasons, q_unknown_country, q_candidate_lists, q_stream_candidates, q_match_lists, q_link_totals)},
     **{name: _feature_query(columns) for name, columns in FEATURES.items()},
+    "q_feat_cosine": q_feat_cosine,
+    "q_feat_jw_sort_set": q_feat_jw_sort_set,
     **{
         f.__name__: f
         for f in (
-            q_feat_jw_sort_set, q_recall_ceiling, q_class_balance, q_entity_fbeta, q_macro_fbeta, q_threshold_curve, q_blend_grid,
+            q_recall_ceiling, q_class_balance, q_entity_fbeta, q_macro_fbeta, q_threshold_curve, q_blend_grid,
             q_pool_quota, q_truth_last_wins, q_validate_report, q_group_split_disjoint, q_model_scores, q_importances,
         )
     },
