@@ -12,7 +12,8 @@ buckets of the upper 12 bits, then the boundary bucket alone by its next 12 bits
 
 Scale: texts are read once; what is kept of them is id, source, size and hash. The histograms are
 pre-aggregated in each task, so a hot source costs no more than another. The table of thresholds
-(one row a source) is joined without a hint: Spark broadcasts it only if its measured size allows.
+(one row a source) is counted and broadcast only if its rows are few; otherwise the join is shuffled, and
+Spark splits its skewed keys.
 
 Defined cases: null text has size 0; null source is a source of its own, the last; a null id hashes
 as the empty string; rows with one id share one hash and are taken or left together; a source of no
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, words
+from .common import cut_lineage, small_or_shuffled, words
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -90,7 +91,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int = C
         if low + bits == HASH_BITS:
             inside = rows.select("s", cell.alias("cell"), "size")
         else:
-            at = state.select(F.col("source").alias("t"), "prefix")
+            at = small_or_shuffled(state.select(F.col("source").alias("t"), "prefix"))
             inside = rows.join(at, F.col("s").eqNullSafe(F.col("t")) & (F.shiftright("h", low + bits) == F.col("prefix"))).select("s", cell.alias("cell"), "size")
         sums = inside.groupBy("s", "cell").agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("s").orderBy("cell")
@@ -130,8 +131,8 @@ def copies(base: Column, threshold: Column, h: Column) -> Column:
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """``id_col, size, source_size, target, taken`` of every document."""
     sized = cut_lineage(sizes(docs, id_col, text_col, source_col))
-    aims = plan(sized, **how).withColumnRenamed("source", "t")
-    joined = sized.join(aims, F.col("source").eqNullSafe(F.col("t")))
+    aims = cut_lineage(plan(sized, **how).withColumnRenamed("source", "t"))
+    joined = sized.join(small_or_shuffled(aims), F.col("source").eqNullSafe(F.col("t")))
     taken = F.col("size") * copies(F.col("base"), F.col("threshold"), F.col("h"))
     return joined.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -139,8 +140,8 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with their own columns."""
     aims = plan(cut_lineage(sizes(docs, id_col, text_col, source_col)), **how)
-    aims = aims.select(F.col("source").alias("_t"), F.col("base").alias("_b"), F.col("threshold").alias("_h"))
-    joined = docs.join(aims, F.col(source_col).eqNullSafe(F.col("_t")))
+    aims = cut_lineage(aims.select(F.col("source").alias("_t"), F.col("base").alias("_b"), F.col("threshold").alias("_h")))
+    joined = docs.join(small_or_shuffled(aims), F.col(source_col).eqNullSafe(F.col("_t")))
     times = copies(F.col("_b"), F.col("_h"), doc_hash(F.col(id_col))).cast("int")
     repeated = joined.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*docs.columns)
