@@ -41,8 +41,8 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 MEASURES = (
     ("symbol_share", None, 100),
     ("upper_share", None, 300),
-    ("dup_line_share", None, 300),
-    ("repeat_share", None, 150),
+    ("dup_line_share", None, 500),
+    ("repeat_share", None, 200),
     ("mean_word", 300, 500),
 )
 
