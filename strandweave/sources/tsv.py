@@ -113,9 +113,8 @@ def pool_quota(rows: DataFrame, wanted: DataFrame, quota: int = POOL_QUOTA) -> D
     The quota's last row id comes from a top-k, so that no window numbers all rows."""
     last = rows.select("row_id").orderBy("row_id").limit(quota).agg(F.max("row_id").alias("_last"))
     ids = wanted.select(F.col("cand_id").alias("entity_id")).distinct().withColumn("_w", F.lit(True))
-    # One row, and every row meets it once.
-    marked = rows.crossJoin(F.broadcast(last)).join(ids, "entity_id", "left")
-    return marked.filter((F.col("row_id") <= F.col("_last")) | F.col("_w").isNotNull()).select(*rows.columns)
+    marked = rows.join(ids, "entity_id", "left")
+    return marked.filter((F.col("row_id") <= last.scalar()) | F.col("_w").isNotNull()).select(*rows.columns)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame | None:
