@@ -38,6 +38,8 @@ from .common import cut_lineage
 K = 20
 EVERY = 20
 BLOCK = 4096
+#: Parts into which the candidate blocks are dealt when they are paired with query blocks.
+SALTS = 64
 #: Queries of a strip of a tile.
 STRIP = 128
 #: Dimensions whose int8 products add up exactly in float32: 1024 * 127 * 127 < 2**24.
@@ -213,7 +215,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     candidates = blocks.filter("kind = 'c'").select(F.col("block").alias("c_block"), "dim", F.col("uid").alias("c_uid"), F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"))
     queries = blocks.filter("kind = 'q'").select(F.col("block").alias("q_block"), "dim", F.col("uid").alias("q_uid"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     # The numbers of the blocks, not the blocks: the pairs are dealt evenly, then fetch their blocks.
-    pairs = queries.select("q_block", "dim").join(candidates.select("c_block", "dim"), "dim")
+    left = queries.select("q_block", "dim", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    right = candidates.select("c_block", "dim", F.pmod(F.xxhash64("c_block"), F.lit(SALTS)).cast("int").alias("salt"))
+    pairs = left.join(right, ["dim", "salt"]).drop("salt")
     tiles = pairs.join(queries.drop("dim"), "q_block").join(candidates.drop("dim"), "c_block").select("dim", "q_uid", "q_ids", "q_vectors", "c_uid", "c_ids", "c_vectors")
     near = tiles.mapInArrow(_tiles(k), "q_uid long, q_id long, uid long, id long, score double")
     return near.repartition("q_uid").sortWithinPartitions("q_uid").mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
