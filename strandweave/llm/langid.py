@@ -3,8 +3,9 @@
 Filters of widths 2, 3 and 4 slide over the UTF-8 bytes of fixed-length windows; every filter's
 largest response in a window passes a rectifier, and a softmax layer maps the pooled responses to
 the learned languages. The network is trained in numpy on windows of labelled documents and then
-applied to all windows of every text, many windows at a time; a text's prediction is the softmax of
-the mean of its windows' logits, weighted by the bytes that each window holds.
+applied to all windows of every text, many windows at a time; a text's scores are the mean of its
+windows' probabilities, weighted by the bytes that each window holds, so that of a mixed text the
+language of the larger part wins.
 
 A filter is linear in the one-hot bytes below it, so its weights are a table (offset, byte ->
 response). For application the tables of two neighbouring offsets are added up once into tables over
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts
+from .common import cut_lineage, map_texts, small_or_shuffled
 
 UNDETERMINED = "und"
 WIDTHS = (2, 3, 4)
@@ -39,6 +40,8 @@ WINDOW = 256
 #: Bounds of the training sample: documents of a language, windows of a document.
 PER_LANG = 500
 WINDOWS = 3
+#: Parts into which the rows of a language are dealt before the sample is drawn.
+SALTS = 8
 EPOCHS = 12
 BATCH = 64
 #: Windows that are convolved at once; their responses stay in cache.
@@ -172,17 +175,19 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int =
 
 def _sampled_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
     """``lang, window`` of the sampled documents: at most WINDOWS windows a document, evenly spread."""
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (
-        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
-        .filter("lang is not null and id is not null")
-        .withColumn("r", F.row_number().over(order))
-        .filter(F.col("r") <= per_lang)
-        .select("id", "lang")
-        .distinct()
-    )
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
+
+    def least(rows: DataFrame, *keys) -> DataFrame:
+        order = Window.partitionBy("lang", *keys).orderBy("h", "id")
+        return rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_lang).drop("r")
+
+    # First among the rows of one salt: a language of most rows is not one task's work.
+    salt = F.pmod(F.col("h"), F.lit(SALTS))
+    ids = least(least(labelled.filter("lang is not null and id is not null"), salt)).select("id", "lang").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    chosen = texts.filter("text is not null").join(ids, ["id", "lang"], "left_semi").select("lang", "text")
+    # Counted: without the hint all texts would be shuffled for a few thousand of them.
+    few = small_or_shuffled(cut_lineage(ids))
+    chosen = texts.filter("text is not null").join(few, ["id", "lang"], "left_semi").select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("window", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,12 +248,12 @@ def predict_texts(texts: list[str | None], plan: ByteConvPlan | None, langs: lis
         if not group:
             return
         rows, owner, held = windows_of([texts[i].encode("utf-8") for i in group])
-        z = plan.logits(rows) * held[:, None]
-        total = np.zeros((len(group), z.shape[1]))
-        np.add.at(total, owner, z)
-        total /= np.bincount(owner, held, len(group))[:, None]
-        p = np.exp(total - total.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
+        z = plan.logits(rows)
+        votes = np.exp(z - z.max(axis=1, keepdims=True))
+        votes *= (held / votes.sum(axis=1))[:, None]
+        p = np.zeros((len(group), z.shape[1]))
+        np.add.at(p, owner, votes)
+        p /= np.bincount(owner, held, len(group))[:, None]
         for i, best, row in zip(group, p.argmax(axis=1), p, strict=True):
             names[i], scores[i] = langs[best], float(row[best])
         group.clear()
