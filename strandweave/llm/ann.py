@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut_lineage
 
@@ -51,8 +52,8 @@ _NO_ID = np.iinfo(np.int64).max
 _BLOCKS = "kind string, block long, dim int, uid binary, ids binary, vectors binary"
 
 
-def _pack(every: int):
-    """Blocks of the valid vectors, candidates and queries."""
+def _pack(every: int, number_type: str):
+    """Blocks of the valid vectors, candidates and queries; numbers are stored as wide as they came."""
     schema = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("dim", pa.int32()), ("uid", pa.binary()), ("ids", pa.binary()), ("vectors", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +65,7 @@ def _pack(every: int):
             nonlocal number
             uid, ids, vectors = (np.concatenate(x) for x in zip(*held.pop((kind, dim)), strict=True))
             number += 1
-            values = [[kind], [(part << 32) + number], [dim], [uid.astype("<i8").tobytes()], [ids.astype("<i8").tobytes()], [vectors.tobytes()]]
+            values = [[kind], [(part << 32) + number], [dim], [uid.astype("<i8").tobytes()], [ids.astype("<i8").tobytes()], [vectors.astype(number_type).tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -153,7 +154,7 @@ def tile(q: np.ndarray, q_uid: np.ndarray, c: np.ndarray, c_uid: np.ndarray, c_i
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
-def _tiles(k: int):
+def _tiles(k: int, number_type: str):
     names = ("q_uid", "q_id", "uid", "id", "score")
     schema = pa.schema([(n, pa.float64() if n == "score" else pa.int64()) for n in names])
 
@@ -162,7 +163,7 @@ def _tiles(k: int):
             for r in range(batch.num_rows):
                 dim, *blobs = (batch.column(i)[r].as_py() for i in range(batch.num_columns))
                 q_uid, q_id, c_uid, c_id = (np.frombuffer(blobs[i], "<i8") for i in (0, 1, 3, 4))
-                q, c = (np.frombuffer(blobs[i]).reshape(-1, dim) for i in (2, 5))
+                q, c = (np.frombuffer(blobs[i], number_type).astype(np.float64).reshape(-1, dim) for i in (2, 5))
                 i, uid, ids, score = tile(q, q_uid, c, c_uid, c_id, k)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q_uid[i], q_id[i], uid, ids, score)], schema=schema)
 
@@ -210,8 +211,10 @@ def _merge(k: int):
 
 def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, every: int = EVERY) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k nearest of every row whose id is divisible by ``every``."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    blocks = cut_lineage(rows.mapInArrow(_pack(every), _BLOCKS))
+    number_type = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
+    wide = "array<float>" if number_type == "<f4" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(wide).alias("v"))
+    blocks = cut_lineage(rows.mapInArrow(_pack(every, number_type), _BLOCKS))
     candidates = blocks.filter("kind = 'c'").select(F.col("block").alias("c_block"), "dim", F.col("uid").alias("c_uid"), F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"))
     queries = blocks.filter("kind = 'q'").select(F.col("block").alias("q_block"), "dim", F.col("uid").alias("q_uid"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     # The numbers of the blocks, not the blocks: the pairs are dealt evenly, then fetch their blocks.
@@ -219,7 +222,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     right = candidates.select("c_block", "dim", F.pmod(F.xxhash64("c_block"), F.lit(SALTS)).cast("int").alias("salt"))
     pairs = left.join(right, ["dim", "salt"]).drop("salt")
     tiles = pairs.join(queries.drop("dim"), "q_block").join(candidates.drop("dim"), "c_block").select("dim", "q_uid", "q_ids", "q_vectors", "c_uid", "c_ids", "c_vectors")
-    near = tiles.mapInArrow(_tiles(k), "q_uid long, q_id long, uid long, id long, score double")
+    near = tiles.mapInArrow(_tiles(k, number_type), "q_uid long, q_id long, uid long, id long, score double")
     return near.repartition("q_uid").sortWithinPartitions("q_uid").mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
 
 

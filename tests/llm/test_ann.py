@@ -48,6 +48,13 @@ def test_odd_vectors(spark):
     assert run(spark, []) == []
 
 
+def test_double_vectors_are_not_rounded(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(5).tolist()) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(repr((r.query_id, r["rank"], r.vec_id, r.score)) for r in ann.search(frame).collect()) == brute(rows)
+
+
 def test_tiles_keep_every_near_pair(monkeypatch):
     rng = np.random.default_rng(8)
     c = rng.standard_normal((700, 24)) * rng.choice([1e-3, 1.0, 1e3], (700, 1))
