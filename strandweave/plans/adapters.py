@@ -52,7 +52,8 @@ def linked_sides(spark: SparkSession, sf_dir: str, sql: str = PARTS_SQL, foreign
     if foreign:
         queries = queries.withColumn("country", F.when(F.col("row_id") % 6 == 0, "Atlantis").otherwise(F.col("country")))
     pool = candidate_pool(source(rows, 2).select(*COLUMNS), source(rows, 3).select(*COLUMNS))
-    return normalise(queries, ["row_id", "entity_id"]), normalise(pool, ["cand_idx", "entity_id"])
+    # Blocking reads either side several times; normalising is the dear part. Lost partitions are made again.
+    return normalise(queries, ["row_id", "entity_id"]).persist(), normalise(pool, ["cand_idx", "entity_id"]).persist()
 
 
 def part_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
