@@ -8,8 +8,9 @@ Kind ``novel``: strings near a sensitive word (key, bearer, credential, ...) tha
 The compressor is primed with a dictionary of code words and common identifiers. A candidate's
 marginal size is the compressed size of the surrounding code with the candidate in its place, less
 that without it. Names, paths and words that occur nearby or in the dictionary cost a few bytes;
-random strings cost close to their entropy. A candidate whose marginal bytes reach ``NOVELTY`` of its
-length is reported.
+random strings cost close to their entropy, be they of letters, of digits or of both. A candidate
+whose marginal bytes reach ``NOVELTY`` of its length is reported. Names made of parts that are neither
+nearby nor in the dictionary are reported too.
 
 Scale: one pass without a shuffle. Only strings in a sensitive context are compressed, each with at
 most ``CONTEXT`` characters on either side. Whole texts are scanned.
@@ -29,6 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from . import primer
 from .common import map_texts
 
 # The patterns of the base kinds.
@@ -62,7 +64,7 @@ NOVELTY = 0.55
 MASK = "[secret]"
 
 #: Priming text: code words and identifiers that are common in configuration and source files.
-PRIMER = (
+PRIMER = f"{primer.PARTS} {primer.CAPITAL_PARTS.replace(' ', '')} {primer.WORDS} ".encode() + (
     "import from return class public static final void string const function export default async await "
     "def self none true false null undefined config settings environment variable value default example "
     "sample test placeholder changeme your_api_key your_secret_key your_token_here replace_me xxxxxxxxxxxxxxxx "
@@ -92,9 +94,6 @@ class Novelty:
 
     def is_novel(self, text: str, start: int, end: int) -> bool:
         candidate = text[start:end]
-        # Random strings mix digits with letters; words and names are left to compress.
-        if not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
-            return False
         before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
         return self.marginal(before, candidate, after) >= NOVELTY * len(candidate)
 

@@ -65,3 +65,16 @@ def test_odd_rows(spark):
     assert (by[12].n_assign, by[12].n_access, by[12].n_hex) == (1, 1, 1)
     assert by[12].masked_text == '[secret]" and [secret] and [secret]'
     assert secrets.scan(no_docs(spark), ["doc_id"]).count() == 0
+
+
+def test_keys_of_one_character_class_are_reported():
+    rng = random.Random(11)
+    novelty = secrets.Novelty()
+    # 24 digits and more are of kind hex.
+    for alphabet, n in ((string.ascii_letters, 40), (string.ascii_uppercase, 32), (string.digits, 20)):
+        for lead in ("bearer", "the client_id", "the credential is", "connection_string is"):
+            secret = "".join(rng.choices(alphabet, k=n))
+            got = secrets.scan_text(f"{lead} {secret} for now", novelty, mask=True)
+            assert got[3] == 1 and got[6] == f"{lead} [secret] for now", (lead, secret)
+    for word in ("internationalization", "Datenschutzgrundverordnung", "professionnellement", "AuthenticationManagerBuilder", "load_balancer_health_check"):
+        assert secrets.scan_text(f"the api key of {word} is here", novelty)[3] == 0, word
