@@ -243,11 +243,11 @@ def q_group_split_disjoint(spark, d):
     return sides.agg(F.count("*").alias("entities"), F.count_if(F.col("v") > 0).alias("validation"), F.count_if((F.col("v") > 0) & (F.col("t") > 0)).alias("on_both_sides"))
 
 
-def _fitted(spark, d, trees: int = 20):
+def _fitted(spark, d):
     queries, pool = adapters.linked_sides(spark, d)
     pairs = blocking.candidate_pairs(queries, pool)
     rows = learn.group_split(adapters.with_labels(features.pair_features(pairs, queries, pool), spark, d)).persist()
-    ensemble = learn.fit_models(rows.filter("not is_val"), trees=trees)
+    ensemble = learn.fit_models(rows.filter("not is_val"))
     learn.tune(ensemble, rows.filter("is_val"), adapters.part_truth(spark, d))
     return ensemble, rows
 

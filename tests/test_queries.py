@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__
+from strandweave.operators import learn
 from strandweave.plans.queries import ORACLE_SQL, QUERIES
 
 from .oracle import assert_same
@@ -26,3 +27,15 @@ def test_rows(spark, small, name):
 def test_entry(spark):
     frame = __spark_entry__.entry(spark)
     assert frame.count() > 0 and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["q_model_scores", "q_importances"])
+def test_models_are_fitted_with_the_operators_defaults(spark, small, monkeypatch, name):
+    fit, given = learn.fit_models, []
+
+    def few(train, **options):
+        given.append(options)
+        return fit(train, **options | {"trees": 2})
+
+    monkeypatch.setattr(learn, "fit_models", few)
+    assert QUERIES[name](spark, small).count() > 0 and given == [{}]
