@@ -31,6 +31,13 @@ select doc_id as row_id,
  substr(split_part(text,'.',1), 1, 80) as business_name, split_part(text,'.',2) as business_address, lang as country
 from documents"""
 
+#: Whole documents as names.
+TEXTS_SQL = """
+select doc_id as row_id,
+ concat('S', cast(1 + doc_id % 3 as varchar(20)), '-', cast(doc_id as varchar(20))) as entity_id,
+ text as business_name, text as business_address, lang as country
+from documents"""
+
 COLUMNS = ["row_id", "entity_id", "business_name", "business_address", "country"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions.text import GENERIC_WORDS, LEGAL_SUFFIXES
 from ..operators.blocking import RULES, SOURCE_STRIDE
 from ..operators.metrics import THRESHOLDS, WEIGHTS
-from .adapters import DOCUMENTS_SQL, PARTS_SQL
+from .adapters import DOCUMENTS_SQL, PARTS_SQL, TEXTS_SQL
 
 _W = r"\p{L}\p{N}_"
 _LEFT, _RIGHT = rf"(?:^|[^{_W}])", rf"(?:$|[^{_W}])"
@@ -251,6 +251,8 @@ _top_lists = _lists("pairs", "candidate_entity_ids")
 ORACLE_SQL = {
     "q_unicode_clean": f"with raw as ({DOCUMENTS_SQL}) select row_id, {clean('business_name')} as name_clean, {clean('business_address')} as addr_clean, {clean('country')} as country_clean from raw",
     "q_name_tokens": f"with raw as ({DOCUMENTS_SQL}), w as (select row_id, {words(clean('business_name'))} as ws from raw) select row_id, array_to_string(ws, ' ') as n_text, array_to_string({core('ws')}, ' ') as n_tokens from w",
+    "q_unicode_clean_texts": f"with raw as ({TEXTS_SQL}) select row_id, {clean('business_name')} as text_clean from raw",
+    "q_name_tokens_texts": f"with raw as ({TEXTS_SQL}), w as (select row_id, {words(clean('business_name'))} as ws from raw) select row_id, array_to_string(ws, ' ') as n_text, array_to_string({core('ws')}, ' ') as n_tokens from w",
     "q_name_compact": f"{_with(base())} select row_id, n_compact from normal",
     "q_postal_extract": f"{_with(base())} select row_id, a_postal from normal",
     "q_num_word": f"{DOC_TEXT} select row_id, {street('t')} as a_num_word from t",

@@ -34,6 +34,16 @@ def q_name_tokens(spark, d):
     return t.select("row_id", "n_text", F.array_join("n_tokens", " ").alias("n_tokens"))
 
 
+def q_unicode_clean_texts(spark, d):
+    t = adapters.entities(spark, d, adapters.TEXTS_SQL)
+    return t.select("row_id", text.unicode_clean(F.col("business_name")).alias("text_clean"))
+
+
+def q_name_tokens_texts(spark, d):
+    t = text.normalise(adapters.entities(spark, d, adapters.TEXTS_SQL), ["row_id"])
+    return t.select("row_id", "n_text", F.array_join("n_tokens", " ").alias("n_tokens"))
+
+
 def _normal_parts(spark, d):
     return text.normalise(adapters.entities(spark, d), ["row_id"])
 
@@ -271,7 +281,7 @@ FEATURES = {
 }
 
 QUERIES = {
-    **{f.__name__: f for f in (q_unicode_clean, q_name_tokens, q_name_compact, q_postal_extract, q_num_word, q_plot, q_addr_tokens, q_posting_stats)},
+    **{f.__name__: f for f in (q_unicode_clean, q_name_tokens, q_unicode_clean_texts, q_name_tokens_texts, q_name_compact, q_postal_extract, q_num_word, q_plot, q_addr_tokens, q_posting_stats)},
     **{f"q_rule_{name}": _rule_query(rule) for name, rule in blocking.RULES.items()},
     **{f.__name__: f for f in (q_block_scores, q_top15_candidates, q_reasons, q_unknown_country, q_candidate_lists, q_stream_candidates, q_match_lists, q_link_totals)},
     **{name: _feature_query(columns) for name, columns in FEATURES.items()},

@@ -39,3 +39,12 @@ def test_models_are_fitted_with_the_operators_defaults(spark, small, monkeypatch
 
     monkeypatch.setattr(learn, "fit_models", few)
     assert QUERIES[name](spark, small).count() > 0 and given == [{}]
+
+
+@pytest.mark.parametrize("name, column", [("q_unicode_clean_texts", "text_clean"), ("q_name_tokens_texts", "n_text")])
+def test_whole_texts_are_read(spark, small, name, column):
+    words = {r.doc_id: len((r.text or "").split()) for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = {r.row_id: len(r[column].split()) for r in QUERIES[name](spark, small).collect()}
+    assert got.keys() == words.keys() and max(words.values()) > 1000
+    # Legal forms, signs and addresses of sites go; of the words nearly all stay.
+    assert sum(got.values()) > 0.9 * sum(words.values())
