@@ -1,25 +1,35 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches, in SQL functions only.
 
-Each document is measured once: symbols, upper-case letters, repeated lines and repeated five-word
-windows, each in thousandths, and hundredths of the mean word length. A sketch is a histogram over
-logarithmic buckets (exact below 16, then eight to an octave, so a quantile is right to an eighth of
-its value). Sketches of one (language, source) are added up from the tasks' partial counts, and
-those of a language or of all rows from theirs: addition is all that merging takes, and the order
-does not matter. A document fails where a measure lies farther from the median of its language and
-source than four interquartile ranges and than the measure's least slack. Groups of fewer than
-``MIN_GROUP`` documents use the thresholds of their language, and small languages those of all rows.
-
-Two base rules stay fixed: too few words, and too many words in windows that occur twice.
+Each document is measured once: symbols, upper-case letters and repeated lines, in thousandths, and
+hundredths of the mean word length. Symbols and repeated lines enter by the lower bound of their count
+(three standard errors less), since a few of them say little about a short text. A sketch is a
+histogram over logarithmic buckets (exact below 16, then eight to an octave, so a quantile is right to
+an eighth of its value). Sketches of one (language, source) are added up from the tasks' partial
+counts, and those of a language or of all rows from theirs: addition is all that merging takes, and
+the order does not matter.
+
+There are no fixed cutoffs. The limit of a measure lies where the quantile function of a group jumps:
+between a tail (``TAIL`` of the documents, from the most to the least common) and the rest there has to
+be an octave that holds less than one document for each ``ODDS`` of the tail. Of several such places the
+one that parts the most documents counts; a measure that falls off evenly has no limit. A group's
+sketch is pooled with that of its language and that of all rows, which weigh ``PRIOR`` documents each,
+so that small groups lean on the others by their size and not by a switch.
+
+Two base rules stay fixed: too few words, and too many words in windows that occur twice (so repeated
+windows have no adaptive rule besides).
 
 Scale: texts are read once and measured in place, all by expressions over arrays of one document:
 windows are 64-bit hashes, distinct ones are counted in linear time, and only documents with a
 repeated hash sort theirs (equal hashes are confirmed word by word). What is shuffled are bucket
-counts, pre-aggregated in each task. The thresholds (one row a language and source) are counted and
-broadcast only if they are few; otherwise the join is shuffled, and Spark splits its skewed keys.
-
-Defined cases: null text has no words and fails the base rules; null languages and sources are
-groups of their own; repeated rows are judged alike and counted each; an empty table gives an empty
-result; further columns are ignored.
+counts, pre-aggregated in each task; a group has at most a few hundred buckets, and the sketches of a
+language and of all rows travel as one array of those. The thresholds (one row a language and source)
+are counted and broadcast only if they are few; otherwise the join is shuffled, and Spark splits its
+skewed keys.
+
+Defined cases: null text has no words and fails the base rules; very long texts are measured whole;
+null languages and sources are groups of their own; ties of two places go to the one that keeps more
+documents; repeated rows are judged alike and counted each; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,18 +43,22 @@ WINDOW = 5
 LEAST_WORDS = 10
 #: Largest share of words in repeated windows, in hundredths.
 MOST_REPEATED = 20
-MIN_GROUP = 50
-SPREAD = 4
 SYMBOLS = "[#*$%&|<>]"
 HAS_WORD = r"[^\x20\x09-\x0D]"
-#: Measure, least slack below the median, least slack above it (null: that side is open).
-MEASURES = (
-    ("symbol_share", None, 100),
-    ("upper_share", None, 300),
-    ("dup_line_share", None, 500),
-    ("repeat_share", None, 200),
-    ("mean_word", 300, 500),
-)
+#: Measures, and whether the lower side has a limit beside the upper one.
+MEASURES = (("symbol_share", False), ("upper_share", False), ("dup_line_share", False), ("mean_word", True))
+#: Standard errors by which a count of rare things is lowered.
+ERRORS = 3
+#: Buckets of the stretch that has to be nearly empty: an octave.
+GAP = 8
+#: One document in the gap weighs as much as so many of the tail.
+ODDS = 20
+#: A tail holds one document of 200 at least, and one of 4 at most.
+TAIL = (200, 4)
+#: Documents that the sketch of the language, and that of all rows, weigh in each group.
+PRIOR = 100
+#: Units of a document's weight; whole numbers add up exactly in any order.
+UNIT = 10_000
 
 
 def _repeated_words(w: Column, hashes: Column) -> Column:
@@ -103,17 +117,17 @@ def measure(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFra
     repeated = F.when(F.col("_distinct") < F.size("_win"), _repeated_words(F.col("_w"), F.col("_win"))).otherwise(0)
     t = t.withColumn("n_repeat_words", repeated.cast("long"))
     share = lambda a, b, k: F.expr(f"({a} * {k}) div greatest({b}, 1)")
+    lowered = lambda a: f"greatest({a} - cast(ceil({ERRORS} * sqrt({a})) as bigint), 0)"
     t = t.withColumns(
         {
-            "symbol_share": share("n_symbols", "word_chars", 1000),
+            "symbol_share": share(lowered("n_symbols"), "word_chars", 1000),
             "upper_share": share("_upper", "word_chars", 1000),
-            "dup_line_share": share("n_dup_lines", "_n_lines", 1000),
-            "repeat_share": share("n_repeat_words", "n_words", 1000),
+            "dup_line_share": share(lowered("n_dup_lines"), "_n_lines", 1000),
             "mean_word": share("word_chars", "n_words", 100),
             "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
         }
     )
-    return t.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *[m for m, _, _ in MEASURES])
+    return t.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *[m for m, _ in MEASURES])
 
 
 def bucket(v: Column) -> Column:
@@ -131,7 +145,7 @@ def bucket_start(b: Column) -> Column:
 
 def sketches(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``lang, source, m, b, n``: the sketch of every measure (by number) of every language and source."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("m"), bucket(F.col(m)).alias("b")) for i, (m, _, _) in enumerate(MEASURES)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("m"), bucket(F.col(m)).alias("b")) for i, (m, _) in enumerate(MEASURES)])
     return (
         measured.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.inline(pairs).alias("m", "b"))
         .groupBy("lang", "source", "m", "b")
@@ -139,70 +153,93 @@ def sketches(measured: DataFrame, lang_col: str = "lang", source_col: str = "sou
     )
 
 
-def limits(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, size, limits``: the thresholds of each group, as an array of (low, high) by measure."""
-    cells = cells.groupBy(*keys, "m", "b").agg(F.sum("n").alias("n"))
-    of = Window.partitionBy(*keys, "m")
-    t = cells.withColumns({"upto": F.sum("n").over(of.orderBy("b")), "size": F.sum("n").over(of)})
-    at = lambda q: bucket_start(F.min(F.when(F.col("upto") * 100 >= F.col("size") * q, F.col("b"))))
-    t = t.groupBy(*keys, "m").agg(at(25).alias("q1"), at(50).alias("q2"), at(75).alias("q3"), F.max("size").alias("size"))
-    pick = lambda side: F.coalesce(*[F.when(F.col("m") == i, F.lit(x[side])) for i, x in enumerate(MEASURES)])
-    reach = SPREAD * (F.col("q3") - F.col("q1"))
-    low = F.when(pick(1).isNotNull(), F.col("q2") - F.greatest(reach, pick(1)))
-    high = F.when(pick(2).isNotNull(), F.col("q2") + F.greatest(reach, pick(2)))
-    per = F.array_sort(F.collect_list(F.struct("m", low.alias("low"), high.alias("high"))))  # one entry a measure
-    return t.groupBy(*keys).agg(F.max("size").alias("size"), per.alias("limits"))
+def _prior(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, prior``: the sketch of each group as an array of (m, b, w) that weighs ``PRIOR`` documents."""
+    t = cells.groupBy(*keys, "m", "b").agg(F.sum("n").alias("n"))
+    t = t.withColumn("size", F.sum("n").over(Window.partitionBy(*keys, "m")))
+    t = t.withColumn("w", F.expr(f"(n * {PRIOR * UNIT}) div size"))
+    return t.groupBy(*keys).agg(F.collect_list(F.struct("m", "b", "w")).alias("prior"))  # a few hundred buckets
+
+
+def pooled(cells: DataFrame) -> DataFrame:
+    """``lang, source, m, b, w``: each group's sketch, with those of its language and of all rows."""
+    groups = cells.select("lang", "source").distinct()
+    by_lang = _prior(cells, ["lang"]).withColumnRenamed("lang", "_l")
+    of_lang = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("_l"))).select("lang", "source", F.inline("prior"))
+    whole = _prior(cells.withColumn("_all", F.lit(0)), ["_all"]).select("prior").scalar()
+    of_all = groups.select("lang", "source", F.inline(whole))
+    own = cells.select("lang", "source", "m", "b", (F.col("n") * UNIT).alias("w"))
+    every = own.unionByName(of_lang).unionByName(of_all)
+    return every.groupBy("lang", "source", "m", "b").agg(F.sum("w").alias("w"))
 
 
 def thresholds(cells: DataFrame) -> DataFrame:
-    """``lang, source, limits``: of the group itself, of its language, or of all rows."""
-    own = limits(cells, ["lang", "source"])
-    by_lang = limits(cells, ["lang"]).select(F.col("lang").alias("_l"), F.col("size").alias("_ls"), F.col("limits").alias("_ll"))
-    whole = limits(cells.withColumn("_all", F.lit(0)), ["_all"]).select(F.col("limits").alias("_wl"), "_all")
-    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_l"))).withColumn("_all", F.lit(0)).join(whole, "_all")
-    chosen = F.when(F.col("size") >= MIN_GROUP, F.col("limits")).when(F.col("_ls") >= MIN_GROUP, F.col("_ll")).otherwise(F.col("_wl"))
-    return joined.select("lang", "source", chosen.alias("limits"))
+    """``lang, source`` and, by measure, ``low_<measure>`` (least value kept) and ``high_<measure>``
+    (least value beyond those kept); null without a limit."""
+    of = Window.partitionBy("lang", "source", "m")
+    along = of.orderBy("b")
+    t = pooled(cells).withColumns(
+        {
+            "size": F.sum("w").over(of),
+            "upto": F.sum("w").over(along.rangeBetween(Window.unboundedPreceding, 0)),
+            "ahead": F.coalesce(F.sum("w").over(along.rangeBetween(-GAP, -1)), F.lit(0)),
+            "behind": F.coalesce(F.sum("w").over(along.rangeBetween(1, GAP)), F.lit(0)),
+        }
+    )
+
+    def parted(tail: Column, gap: Column, b: Column) -> Column:
+        fits = (tail * TAIL[0] >= F.col("size")) & (tail * TAIL[1] <= F.col("size")) & (tail > ODDS * gap)
+        return F.max(F.when(fits, F.struct((tail - ODDS * gap).alias("net"), b.alias("b"))))
+
+    upper = parted(F.col("size") - F.col("upto") + F.col("w"), F.col("ahead"), F.col("b"))
+    lower = parted(F.col("upto"), F.col("behind"), -F.col("b"))
+    t = t.groupBy("lang", "source", "m").agg(upper.alias("u"), lower.alias("l"))
+    at = lambda i, c: F.max(F.when(F.col("m") == i, c))
+    out = []
+    for i, (m, two_sided) in enumerate(MEASURES):
+        out.append(at(i, bucket_start(F.col("u.b"))).alias(f"high_{m}"))
+        if two_sided:
+            out.append(at(i, bucket_start(1 - F.col("l.b"))).alias(f"low_{m}"))
+    return t.groupBy("lang", "source").agg(*out)
+
+
+def within_limits() -> dict[str, Column]:
+    """By measure, whether a row lies within the limits joined to it."""
+    out = {}
+    for m, two_sided in MEASURES:
+        out[m] = F.coalesce(F.col(m) < F.col(f"high_{m}"), F.lit(True))
+        if two_sided:
+            out[m] &= F.coalesce(F.col(m) >= F.col(f"low_{m}"), F.lit(True))
+    return out
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``id_col``, the counts, base_failed and kept of every document."""
-    measured = cut_lineage(measure(docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.col(text_col).alias("_t")), ["_id", "_lang", "_source"], "_t"))
+    """``id_col``, the counts, base_failed, kept and, by measure, whether it is within its limits."""
+    narrow = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.col(text_col).alias("_t"))
+    measured = cut_lineage(measure(narrow, ["_id", "_lang", "_source"], "_t"))
     table = cut_lineage(thresholds(sketches(measured, "_lang", "_source")))
     joined = measured.join(small_or_shuffled(table), F.col("_lang").eqNullSafe(F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")))
-    within = F.lit(True)
-    for i, (m, below, above) in enumerate(MEASURES):
-        if below is not None:
-            within &= F.col(m) >= F.col("limits")[i]["low"]
-        if above is not None:
-            within &= F.col(m) <= F.col("limits")[i]["high"]
-    kept = ~F.col("base_failed") & within
-    return joined.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
+    within = within_limits()
+    kept = ~F.col("base_failed")
+    for ok in within.values():
+        kept &= ok
+    named = [ok.alias(f"{m}_ok") for m, ok in within.items()]
+    return joined.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), *named)
 
 
 def _oracle_sql() -> str:
-    names = [m for m, _, _ in MEASURES]
-    long = " union all ".join(f"select doc_id, lang, source, {i} as m, {m} as v from measured" for i, m in enumerate(names))
-    slack = lambda side: " ".join(f"when {i} then {x[side]}" for i, x in enumerate(MEASURES) if x[side] is not None)
+    names = [m for m, _ in MEASURES]
+    long = " union all ".join(f"select r, lang, source, {i} as m, {m} as v from measured" for i, m in enumerate(names))
     start = "case when {0} < 16 then {0} else ({0} % 8 + 8) << (({0} // 8) - 3)::int end"
-
-    def level(name: str, keys: str) -> str:
-        by = f"{keys}, " if keys else ""
-        part = f"partition by {by}m"
-        return f"""
-{name}_c as (select {by}m, b, sum(n) as n from cells group by {by}m, b),
-{name}_u as (select *, sum(n) over ({part} order by b) as upto, sum(n) over ({part}) as size from {name}_c),
-{name}_q as (
-  select {by}m, max(size) as size, min(case when upto * 100 >= size * 25 then b end) as b1,
-    min(case when upto * 100 >= size * 50 then b end) as b2, min(case when upto * 100 >= size * 75 then b end) as b3
-  from {name}_u group by {by}m),
-{name}_s as (select *, {start.format("b1")} as q1, {start.format("b2")} as q2, {start.format("b3")} as q3 from {name}_q),
-{name} as (
-  select {by}m, size, q2 - greatest({SPREAD} * (q3 - q1), case m {slack(1)} end) as low,
-    q2 + greatest({SPREAD} * (q3 - q1), case m {slack(2)} end) as high,
-    m in ({", ".join(str(i) for i, x in enumerate(MEASURES) if x[1] is not None)}) as has_low,
-    m in ({", ".join(str(i) for i, x in enumerate(MEASURES) if x[2] is not None)}) as has_high
-  from {name}_s)"""
-
+    lowered = lambda c: f"greatest({c} - ceil({ERRORS} * sqrt({c}))::bigint, 0)"
+    prior = lambda keys: f"n * {PRIOR * UNIT} // sum(n) over (partition by {keys}m)"
+    fits = lambda tail, gap: f"{tail} * {TAIL[0]} >= size and {tail} * {TAIL[1]} <= size and {tail} > {ODDS} * {gap}"
+    side = lambda name, tail, gap, order: f"""
+{name} as (select lang, source, m, b from steps where {fits(tail, gap)}
+  qualify row_number() over (partition by lang, source, m order by {tail} - {ODDS} * {gap} desc, {order}) = 1)"""
+    ok = lambda i: f"{names[i]}_ok"
+    checks = ", ".join(f"coalesce(bool_and(ok) filter (m = {i}), true) as {ok(i)}" for i in range(len(names)))
+    two_sided = ", ".join(str(i) for i, (_, both) in enumerate(MEASURES) if both)
     return f"""
 with texts as (select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as text from documents),
 split as (
@@ -225,26 +262,36 @@ counted as (
   from split s left join covered c on s.r = c.r),
 measured as (
   select *, n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words as base_failed,
-    n_symbols * 1000 // greatest(word_chars, 1) as symbol_share, n_upper * 1000 // greatest(word_chars, 1) as upper_share,
-    n_dup_lines * 1000 // greatest(n_lines, 1) as dup_line_share, n_repeat_words * 1000 // greatest(n_words, 1) as repeat_share,
+    {lowered("n_symbols")} * 1000 // greatest(word_chars, 1) as symbol_share, n_upper * 1000 // greatest(word_chars, 1) as upper_share,
+    {lowered("n_dup_lines")} * 1000 // greatest(n_lines, 1) as dup_line_share,
     word_chars * 100 // greatest(n_words, 1) as mean_word from counted),
-long as (select r, doc_id, lang, source, m, v::bigint as v from (
-  {long.replace("select doc_id", "select r, doc_id")})),
+long as (select r, lang, source, m, v::bigint as v from ({long})),
 cells as (
   select lang, source, m, case when v < 16 then v else (length(bin(v)) - 1) * 8 + ((v >> (length(bin(v)) - 4)::int) & 7) end as b,
-    count(*) as n from long group by all),
-{level("own", "lang, source")}, {level("by_lang", "lang")}, {level("whole", "")},
-limits as (
-  select o.lang, o.source, o.m, o.has_low, o.has_high,
-    case when o.size >= {MIN_GROUP} then o.low when l.size >= {MIN_GROUP} then l.low else a.low end as low,
-    case when o.size >= {MIN_GROUP} then o.high when l.size >= {MIN_GROUP} then l.high else a.high end as high
-  from own o join by_lang l on o.lang is not distinct from l.lang and o.m = l.m join whole a on o.m = a.m),
-failed as (
-  select distinct x.r from long x join limits t
-  on x.lang is not distinct from t.lang and x.source is not distinct from t.source and x.m = t.m
-  where (t.has_low and x.v < t.low) or (t.has_high and x.v > t.high))
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and f.r is null as kept
-from measured left join failed f on measured.r = f.r"""
+    count(*)::bigint as n from long group by all),
+groups as (select distinct lang, source from cells),
+by_lang as (select lang, m, b, {prior("lang, ")} as w from (select lang, m, b, sum(n)::bigint as n from cells group by all)),
+whole as (select m, b, {prior("")} as w from (select m, b, sum(n)::bigint as n from cells group by all)),
+pooled as (
+  select lang, source, m, b, sum(w)::bigint as w from (
+    select lang, source, m, b, n * {UNIT} as w from cells
+    union all select g.lang, g.source, m, b, w from groups g join by_lang l on g.lang is not distinct from l.lang
+    union all select lang, source, m, b, w from groups, whole) group by all),
+steps as (
+  select *, sum(w) over (partition by lang, source, m) as size,
+    sum(w) over (partition by lang, source, m order by b) as upto,
+    coalesce(sum(w) over (partition by lang, source, m order by b range between {GAP} preceding and 1 preceding), 0) as ahead,
+    coalesce(sum(w) over (partition by lang, source, m order by b range between 1 following and {GAP} following), 0) as behind
+  from pooled),{side("uppers", "(size - upto + w)", "ahead", "b desc")},{side("lowers", "upto", "behind", "b")},
+checked as (
+  select x.r, x.m, coalesce(x.v < {start.format("u.b")}, true) and (x.m not in ({two_sided}) or coalesce(x.v >= {start.format("(l.b + 1)")}, true)) as ok
+  from long x
+  left join uppers u on x.lang is not distinct from u.lang and x.source is not distinct from u.source and x.m = u.m
+  left join lowers l on x.lang is not distinct from l.lang and x.source is not distinct from l.source and x.m = l.m),
+verdicts as (select r, {checks} from checked group by r)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and {" and ".join(map(ok, range(len(names))))} as kept, {", ".join(map(ok, range(len(names))))}
+from measured join verdicts v on measured.r = v.r"""
 
 
 ORACLE_SQL = _oracle_sql()

@@ -55,6 +55,34 @@ def test_outliers_go_and_ordinary_documents_stay(spark):
     assert all(got[i] for i in range(120)) and not any(got[i] for i in (1000, 1001, 1002))
 
 
+def limits_of(spark, groups):
+    """High symbol limits by group; ``groups``: (lang, source) -> symbol shares of its documents."""
+    rows = [(lang, source, 0, v) for (lang, source), values in groups.items() for v in values]
+    t = spark.createDataFrame(rows, "lang string, source string, m int, v long")
+    cells = t.groupBy("lang", "source", "m", rules.bucket(F.col("v")).alias("b")).agg(F.count("*").alias("n"))
+    return {(r.lang, r.source): r.high_symbol_share for r in rules.thresholds(cells).collect()}
+
+
+def test_a_spread_out_group_gets_wider_limits(spark):
+    rng = random.Random(4)
+    junk = lambda n: [rng.randint(500, 600) for _ in range(n)]
+    tight = [rng.randint(0, 12) for _ in range(4000)] + [rng.randint(60, 90) for _ in range(200)]
+    spread = [rng.randint(0, 120) for _ in range(4000)] + junk(200)
+    even = [int(rng.expovariate(1 / 40)) for _ in range(4000)]
+    found = limits_of(spark, {("x", "tight"): tight, ("y", "spread"): spread, ("z", "even"): even})
+    assert 12 < found["x", "tight"] <= 64 and 120 < found["y", "spread"] <= 512
+    # No jump, no limit.
+    assert found["z", "even"] is None or found["z", "even"] > 120
+
+
+def test_small_groups_lean_on_their_language(spark):
+    rng = random.Random(5)
+    tight = [rng.randint(0, 12) for _ in range(4000)] + [rng.randint(60, 90) for _ in range(200)]
+    spread = [rng.randint(0, 120) for _ in range(4000)] + [rng.randint(500, 600) for _ in range(200)]
+    found = limits_of(spark, {("x", "large"): tight, ("y", "large"): spread, ("x", "small"): [1, 2, 70], ("y", "small"): [1, 2, 70]})
+    assert found["x", "small"] < found["y", "small"]
+
+
 def test_buckets(spark):
     values = [*range(300), 1000, 1023, 1024, 10**6, 2**40 + 12345]
     t = spark.createDataFrame([(v,) for v in values], "v long").select("v", rules.bucket(F.col("v")).alias("b"))
