@@ -26,7 +26,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return secrets.scan(read_table(spark, sf_dir, "documents"), ["doc_id"], vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,27 +4,34 @@ Fixed kinds (leftmost non-overlapping matches of each pattern; failing ones are
 ``assign`` (a credential word, a colon or equals sign and a value of 6 or more characters),
 ``access`` (AKIA ids of 20 or more characters), ``hex`` (24 or more hexadecimal digits).
 
-Kind ``novel``: strings near a sensitive word (key, bearer, credential, ...) that do not compress.
-The compressor is primed with a dictionary of code words and common identifiers. A candidate's
-marginal size is the compressed size of the surrounding code with the candidate in its place, less
-that without it. Names, paths and words that occur nearby or in the dictionary cost a few bytes;
-random strings cost close to their entropy, be they of letters, of digits or of both. A candidate
-whose marginal bytes reach ``NOVELTY`` of its length is reported. Names made of parts that are neither
-nearby nor in the dictionary are reported too.
-
-Scale: one pass without a shuffle. Only strings in a sensitive context are compressed, each with at
-most ``CONTEXT`` characters on either side. Whole texts are scanned.
-
-Defined cases: null text is the empty text: no spans, the digest of the empty string; spans count
-code points, end exclusive, and are sorted by start, then kind in the order assign, access, hex,
-novel; a novel span that overlaps a fixed one is not reported twice; repeated rows come back
-repeated; further columns are ignored.
+Kind ``novel``: strings near a sensitive word (token, bearer, credential, ...) that do not compress.
+The compressor is primed with a dictionary of words and identifier parts (see :mod:`.primer`). A
+candidate's marginal size is the compressed size of the surrounding code with the candidate in its
+place, less that without it. Names, paths and words that occur nearby or in the dictionary cost a few
+bytes; random strings cost close to their length, be they of letters, of digits or of both. Every
+candidate is measured, and reported if its marginal bytes reach ``NOVELTY`` of its length. Other copies
+of it are taken out of its surroundings first, and where one copy is reported all of the text are. Names
+made of parts that are neither nearby nor in the dictionary are reported too.
+
+A candidate is a run of 16 or more key characters that begins within ``reach`` characters of the end of
+a sensitive word, or what such a run holds behind a sensitive word in it.
+
+Scale: one pass without a shuffle, linear in the text. Only candidates are compressed, each with at most
+``context`` characters on either side. The dictionary (about 250 kB, the same for any corpus) is
+broadcast. Whole texts are scanned.
+
+Defined cases: null text is the empty text: no spans, the digest of the empty string; very long texts
+and runs are scanned whole; spans count code points, end exclusive, and are sorted by start, then kind
+in the order assign, access, hex, novel; a novel span that overlaps a fixed one is not reported twice;
+repeated rows come back repeated; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -49,52 +56,46 @@ SENSITIVE_HINTS = (
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
-#: Words that make what follows them sensitive.
+#: Words that make what follows them sensitive, and the length of the longest.
 SENSITIVE = re.compile(
-    r"passphrase|password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?id"
-    r"|credentials?|authorization|bearer|signing[_-]?key|encryption[_-]?key|connection[_-]?string",
+    r"passphrase|password|passwd|pwd|secret|token|(?:api|access|private|signing|encryption)[_\x20-]?key"
+    r"|client[_\x20-]?id|credentials?|authorization|bearer|connection[_\x20-]?string",
     re.I | re.A,
 )
+LONGEST_WORD = 17
+LEAST_RUN = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Characters after a sensitive word in which a candidate must begin.
-REACH = 48
-CONTEXT = 256
+#: What may stand between a sensitive word and a key in one run.
+JOINTS = "=_-/+"
+#: Characters after a sensitive word in which a candidate must begin, and of the surroundings on a side.
+REACH, CONTEXT = 48, 256
 #: Least share of marginal compressed bytes to characters.
-NOVELTY = 0.55
+NOVELTY = 0.78
+LEVEL = 12
 MASK = "[secret]"
 
-#: Priming text: code words and identifiers that are common in configuration and source files.
-PRIMER = f"{primer.PARTS} {primer.CAPITAL_PARTS.replace(' ', '')} {primer.WORDS} ".encode() + (
-    "import from return class public static final void string const function export default async await "
-    "def self none true false null undefined config settings environment variable value default example "
-    "sample test placeholder changeme your_api_key your_secret_key your_token_here replace_me xxxxxxxxxxxxxxxx "
-    "api_key apikey access_key access_token refresh_token auth_token bearer_token client_id client_secret "
-    "secret_key private_key public_key password passwd username user_name credentials authorization header "
-    "content_type application json localhost http https www com org net path file name host port database "
-    "connection_string server endpoint region bucket account service production development staging version "
-    "get_password set_password password_hash token_type token_expires_in secret_manager key_vault get_secret "
-    "process.env os.environ getenv config.get settings.get request.headers session.token "
-    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef "
-    "-----BEGIN PRIVATE KEY----- -----END PRIVATE KEY----- ssh-rsa begin certificate documentation description "
-).encode()
-
 
 class Novelty:
-    """Marginal compressed size under a dictionary of code and identifiers."""
+    """Marginal compressed size under a dictionary of words and identifier parts."""
 
-    def __init__(self):
-        dictionary = zstandard.ZstdCompressionDict(PRIMER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, dictionary: bytes, reach: int = REACH, context: int = CONTEXT):
+        self.reach, self.context = reach, context
+        primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self._compressor = zstandard.ZstdCompressor(
-            level=12, dict_data=dictionary, write_checksum=False, write_content_size=False
+            level=LEVEL, dict_data=primed, write_checksum=False, write_content_size=False
         )
 
     def marginal(self, before: str, candidate: str, after: str) -> int:
-        size = lambda s: len(self._compressor.compress(s.encode("utf-8")))
+        size = lambda s: len(self._compressor.compress(s.encode("utf-8", "surrogatepass")))
         return size(before + candidate + after) - size(before + after)
 
     def is_novel(self, text: str, start: int, end: int) -> bool:
-        candidate = text[start:end]
-        before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+        candidate, n = text[start:end], end - start
+        before, after = text[max(0, start - self.context - n) : start], text[end : end + self.context + n]
+        # Copies go, and at the far ends what may be a part of one.
+        before = before.replace(candidate, "")[n if start > self.context + n else 0 :]
+        after = after.replace(candidate, "")[: -n if end + self.context + n < len(text) else None]
+        before, after = before[-self.context :], after[: self.context]
         return self.marginal(before, candidate, after) >= NOVELTY * len(candidate)
 
 
@@ -108,21 +109,42 @@ def base_spans(text: str, lower: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
-    found, done = [], 0
-    taken = [(s, e) for s, _, e in base]
-    for word in SENSITIVE.finditer(text):
-        at = max(word.end(), done)
-        while m := CANDIDATE.search(text, at):
-            if m.start() > word.end() + REACH:
-                break
-            at = done = m.end()
-            clash = any(s < m.end() and m.start() < e for s, e in taken)
-            if not clash and novelty.is_novel(text, m.start(), m.end()):
-                found.append((m.start(), 3, m.end()))
+def candidates(text: str, reach: int = REACH) -> list[tuple[int, int]]:
+    """Places of the strings in a sensitive context, in order."""
+    found = []
+    for run in CANDIDATE.finditer(text):
+        start, end = run.span()
+        ahead = SENSITIVE.search(text, max(0, start - reach - LONGEST_WORD), start)
+        while ahead and ahead.end() < start - reach:
+            ahead = SENSITIVE.search(text, ahead.end(), start)
+        if not ahead:
+            words = SENSITIVE.finditer(text, max(0, start - LONGEST_WORD), end)
+            inside = next((m for m in words if m.end() > start), None)
+            if not inside:
+                continue
+            start = end - len(text[inside.end() : end].lstrip(JOINTS))
+        if end - start >= LEAST_RUN:
+            found.append((start, end))
     return found
 
 
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
+    # The ends of the fixed spans, as a running maximum: a span that begins before e clashes if it ends behind s.
+    starts = [s for s, _, _ in base]
+    ends = list(accumulate((e for _, _, e in base), max))
+
+    def clash(s: int, e: int) -> bool:
+        k = bisect_left(starts, e)
+        return k > 0 and ends[k - 1] > s
+
+    near = [(s, e) for s, e in candidates(text, novelty.reach) if not clash(s, e)]
+    novel = {text[s:e] for s, e in near if novelty.is_novel(text, s, e)}
+    if not novel:
+        return []
+    copies = {run.span() for run in CANDIDATE.finditer(text) if run[0] in novel and not clash(*run.span())}
+    return sorted((s, 3, e) for s, e in copies.union(x for x in near if text[x[0] : x[1]] in novel))
+
+
 def render(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
@@ -162,12 +184,21 @@ def scan_text(text: str | None, novelty: Novelty, mask: bool = False) -> tuple:
     return (*counts, digest, render(every), masked(text, every) if mask else None)
 
 
-def scan(docs: DataFrame, keep: list[str], text_col: str = "text", mask: bool = False) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    keep: list[str],
+    text_col: str = "text",
+    mask: bool = False,
+    vocabulary: str | None = None,
+    reach: int = REACH,
+    context: int = CONTEXT,
+) -> DataFrame:
     """The columns in ``keep`` of every row, with the counts, digest and spans; ``masked_text`` is
-    filled if ``mask`` is set."""
+    filled if ``mask`` is set. ``vocabulary``: file of words for the dictionary."""
+    primed = docs.sparkSession.sparkContext.broadcast(primer.dictionary(vocabulary))
 
     def make():
-        novelty = Novelty()
+        novelty = Novelty(primed.value, reach, context)
 
         def apply(texts):
             return list(zip(*(scan_text(t, novelty, mask) for t in texts), strict=True))

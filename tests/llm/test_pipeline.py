@@ -5,7 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from strandweave.llm import langid, secrets
+from strandweave.llm import langid, primer, secrets
 
 from .data import edge_docs, no_docs
 from .test_mixing import brute_targets
@@ -37,7 +37,7 @@ def test_stages_against_brute_force(spark, small, tmp_path):
     assert keys(single) == sorted((str(i), rows[i].text) for i in set(roots.values()))
 
     masked = write(stages["secret_scan"](spark, single, small), docs, tmp_path / "2")
-    novelty = secrets.Novelty()
+    novelty = secrets.Novelty(primer.dictionary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
     want = sorted((str(i), secrets.scan_text(rows[i].text, novelty, mask=True)[6]) for i in set(roots.values()))
     assert keys(masked) == want and all(r.n_chars == len(r.text) for r in masked.collect())
 
