@@ -48,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are masked in the text; the document stays, with its new length."""
-    found = secrets.scan(_own_columns(docs), [c for c in COLUMNS if c != "text"], mask=True)
+    found = secrets.scan(_own_columns(docs), [c for c in COLUMNS if c != "text"], mask=True, vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return found.withColumnRenamed("masked_text", "text").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
