@@ -1,30 +1,33 @@
 """Nearest neighbours by largest inner product: a block matrix join over int8 tiles.
 
-Vectors are packed into blocks of up to ``BLOCK`` rows, and the queries among them into blocks of
-their own. Every block of queries meets every block of candidates in one tile. A tile multiplies the
+Vectors are packed into full blocks, and the queries among them into blocks of their own. The blocks are
+laid on a grid: shares of the queries by shares of the candidates. A cell of the grid holds its share of
+the queries and meets its candidate blocks one after the other, each in a tile. A tile multiplies the
 int8 codes (exactly: products of int8 numbers are summed in float32 within its 24 bits, a stretch
 of dimensions at a time), scales them back, and bounds the quantisation error by Cauchy-Schwarz from
 the residuals' norms, so that each pair has a lower and an upper bound. Pairs whose upper bound
-reaches the tile's k-th largest lower bound survive; only they are recomputed in double precision,
-on the original vectors. Each tile returns at most k rows a query, and heaps merge the tiles' lists.
+reaches the k-th largest lower bound of the tile, and the k-th best product of the tiles before it,
+survive; only they are recomputed in double precision, on the original vectors. A cell returns at most
+k rows a query, and heaps merge the cells' lists. Where a bound is not finite the pair is recomputed.
 The result is exact.
 
-Scale: work is queries times candidates, cut into tiles of equal size that any executor can run; a
-tile's memory is two blocks and a strip of products. Blocks hold rows in the order in which they are
-read, so that no key and no group of equal vectors makes one large. A query block is sent once to
-each candidate block; what comes back is k numbers a query and tile, merged as a stream sorted by
-query.
+Scale: work is queries times candidates, cut into cells that any executor can run. A candidate block is
+sent once to each share of queries and a query block once to each share of candidates, so no block is
+sent more often than the grid is long. A cell's memory is its share of the queries (``SHARE`` numbers),
+k rows for each, one candidate block and a strip of products. Blocks hold rows in the order in which
+they are read and shares are dealt by block, so that no key and no group of equal vectors makes one large.
 
 Defined cases: null, empty and zero vectors, and those holding null or non-finite components, take no
-part; vectors are compared with those of their own length; ties go to the smaller id (null last),
-then to the earlier row; rows with one id are candidates of their own, only the query's own row is
-left out; with fewer than k candidates all come back; an empty table gives an empty result; further
-columns are ignored.
+part; vectors are compared with those of their own length, however long; ties go to the smaller id (null
+last), then to the earlier row; a product that is no number (infinities that cancel out) comes last; rows
+with one id are candidates of their own, only the query's own row is left out; with fewer than k
+candidates all come back; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +41,12 @@ from .common import cut_lineage
 
 K = 20
 EVERY = 20
-BLOCK = 4096
-#: Parts into which the candidate blocks are dealt when they are paired with query blocks.
-SALTS = 64
+#: Rows of a block, and numbers of its vectors, at most.
+BLOCK, BLOCK_NUMBERS = 4096, 1 << 20
+#: Numbers of the query vectors that a cell of the grid holds (about).
+SHARE = 1 << 23
+#: Candidates of a cell (about): bounds the work of a task.
+CELL_ROWS = 1 << 20
 #: Queries of a strip of a tile.
 STRIP = 128
 #: Dimensions whose int8 products add up exactly in float32: 1024 * 127 * 127 < 2**24.
@@ -49,15 +55,16 @@ EXACT_DIMS = 1024
 ROUNDING = 1e-6
 _NO_ID = np.iinfo(np.int64).max
 
-_BLOCKS = "kind string, block long, dim int, uid binary, ids binary, vectors binary"
+_BLOCKS = "kind string, block long, dim int, size int, uid binary, ids binary, vectors binary"
 
 
 def _pack(every: int, number_type: str):
     """Blocks of the valid vectors, candidates and queries; numbers are stored as wide as they came."""
-    schema = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("dim", pa.int32()), ("uid", pa.binary()), ("ids", pa.binary()), ("vectors", pa.binary())])
+    schema = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("dim", pa.int32()), ("size", pa.int32()), ("uid", pa.binary()), ("ids", pa.binary()), ("vectors", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
+        number_bytes = np.dtype(number_type)
         held: dict[tuple[str, int], list] = {}
         number, row = 0, 0
 
@@ -65,7 +72,7 @@ def _pack(every: int, number_type: str):
             nonlocal number
             uid, ids, vectors = (np.concatenate(x) for x in zip(*held.pop((kind, dim)), strict=True))
             number += 1
-            values = [[kind], [(part << 32) + number], [dim], [uid.astype("<i8").tobytes()], [ids.astype("<i8").tobytes()], [vectors.astype(number_type).tobytes()]]
+            values = [[kind], [(part << 32) + number], [dim], [len(uid)], [uid.astype("<i8").tobytes()], [ids.astype("<i8").tobytes()], [vectors.astype(number_bytes).tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -84,10 +91,12 @@ def _pack(every: int, number_type: str):
                     vectors = flat[(ends[of] - dim)[:, None] + np.arange(dim)]
                     good = np.isfinite(vectors).all(axis=1) & (vectors != 0).any(axis=1)
                     of, vectors = of[good], vectors[good]
+                    most = max(1, min(BLOCK, BLOCK_NUMBERS // dim))
                     for kind, mask in (("c", np.ones(len(of), bool)), ("q", is_query[of])):
-                        if mask.any():
-                            held.setdefault((kind, dim), []).append((uid[of][mask], named[of][mask], vectors[mask]))
-                            if sum(len(x[0]) for x in held[kind, dim]) >= BLOCK:
+                        for cut in range(0, int(mask.sum()), most):
+                            some = slice(cut, cut + most)
+                            held.setdefault((kind, dim), []).append((uid[of][mask][some], named[of][mask][some], vectors[mask][some]))
+                            if sum(len(x[0]) for x in held[kind, dim]) >= most:
                                 yield block(kind, dim)
         for kind, dim in list(held):
             yield block(kind, dim)
@@ -97,6 +106,7 @@ def _pack(every: int, number_type: str):
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes (as float32), scales, norms of the coded vectors, norms of the residuals."""
+    x = x.astype(np.float64)
     scale = np.abs(x).max(axis=1) / 127
     scale = np.where(scale > 0, scale, np.finfo(np.float64).tiny)
     codes = np.clip(np.rint(x / scale[:, None]), -127, 127)
@@ -115,57 +125,107 @@ def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def exact_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Row by row, in double precision, adding up the dimensions in order."""
+    q, c = q.astype(np.float64), c.astype(np.float64)
     total = np.zeros(len(q))
-    for d in range(q.shape[1]):
-        total += q[:, d] * c[:, d]
+    with np.errstate(all="ignore"):
+        for d in range(q.shape[1]):
+            total += q[:, d] * c[:, d]
     return total
 
 
-def tile(q: np.ndarray, q_uid: np.ndarray, c: np.ndarray, c_uid: np.ndarray, c_id: np.ndarray, k: int):
-    """For each query its at most k nearest of the tile: (query row, uid, id, score)."""
-    qc, qs, qn, qr = quantise(q)
-    cc, cs, cn, cr = quantise(c)
-    found = []
-    for at in range(0, len(q), STRIP):
-        rows = slice(at, at + STRIP)
-        near = int8_products(qc[rows], cc) * (qs[rows, None] * cs)
-        # |q.c - q'.c'| <= |q'| |c - c'| + |q - q'| (|c'| + |c - c'|)
-        error = qn[rows, None] * cr + qr[rows, None] * (cn + cr)
-        error += ROUNDING * (qn[rows] + qr[rows])[:, None] * (cn + cr)
-        low = near - error
-        own = q_uid[rows, None] == c_uid
-        low[own] = -np.inf
-        if len(c) > k:
-            limit = np.partition(low, len(c) - k, axis=1)[:, len(c) - k, None]
-            keep = near + error >= limit
-        else:
-            keep = np.ones(near.shape, bool)
-        keep[own] = False
-        i, j = np.nonzero(keep)
-        score = np.empty(len(i))
-        for cut in range(0, len(i), 1 << 16):
-            part = slice(cut, cut + (1 << 16))
-            score[part] = exact_products(q[at + i[part]], c[j[part]])
-        order = np.lexsort((c_uid[j], c_id[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        first = np.searchsorted(i, i)
-        best = np.arange(len(i)) - first < k
-        found.append((at + i[best], c_uid[j[best]], c_id[j[best]], score[best]))
-    return [np.concatenate(x) for x in zip(*found, strict=True)]
-
-
-def _tiles(k: int, number_type: str):
+def order_key(score: np.ndarray) -> np.ndarray:
+    """What a score is ranked by: no number comes last."""
+    return np.where(np.isnan(score), -np.inf, score)
+
+
+class Best:
+    """The k nearest of each query so far."""
+
+    def __init__(self, uid: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.uid, self.ids, self.vectors, self.k = uid, ids, vectors, k
+        self.codes, self.scale, self.norm, self.rest = quantise(vectors)
+        # Sorted by query row, then nearest first.
+        self.row = np.empty(0, np.int64)
+        self.other, self.other_id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def limits(self) -> np.ndarray:
+        """By query, the k-th best score; -inf while there are fewer."""
+        out = np.full(len(self.uid), -np.inf)
+        count = np.bincount(self.row, minlength=len(self.uid))
+        full = np.flatnonzero(count == self.k)
+        out[full] = order_key(self.score[(np.cumsum(count) - 1)[full]])
+        return out
+
+    def meet(self, uid: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """One tile: the candidates of a block."""
+        k = self.k
+        codes, scale, norm, rest = quantise(vectors)
+        limits = self.limits()
+        found = [(self.row, self.other, self.other_id, self.score)]
+        for at in range(0, len(self.uid), STRIP):
+            rows = slice(at, at + STRIP)
+            with np.errstate(all="ignore"):
+                near = int8_products(self.codes[rows], codes) * (self.scale[rows, None] * scale)
+                # |q.c - q'.c'| <= |q'| |c - c'| + |q - q'| (|c'| + |c - c'|)
+                error = self.norm[rows, None] * rest + self.rest[rows, None] * (norm + rest)
+                error += ROUNDING * (self.norm[rows] + self.rest[rows])[:, None] * (norm + rest)
+                low, high = near - error, near + error
+            # A bound that is no finite number says nothing.
+            low[~np.isfinite(low)] = -np.inf
+            high[~np.isfinite(high)] = np.inf
+            own = self.uid[rows, None] == uid
+            low[own] = -np.inf
+            least = limits[rows]
+            if len(uid) > k:
+                least = np.maximum(least, np.partition(low, len(uid) - k, axis=1)[:, len(uid) - k])
+            keep = high >= least[:, None]
+            keep[own] = False
+            i, j = np.nonzero(keep)
+            score = np.empty(len(i))
+            some = max(1, BLOCK_NUMBERS // vectors.shape[1])
+            for cut in range(0, len(i), some):
+                part = slice(cut, cut + some)
+                score[part] = exact_products(self.vectors[at + i[part]], vectors[j[part]])
+            found.append((at + i, uid[j], ids[j], score))
+        row, other, other_id, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((other, other_id, -order_key(score), row))
+        row = row[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+        order = order[kept]
+        self.row, self.other, self.other_id, self.score = row[kept], other[order], other_id[order], score[order]
+
+
+def _cells(k: int, number_type: str):
+    """The k nearest of each cell's queries; rows are sorted by cell and dimensions, queries first."""
     names = ("q_uid", "q_id", "uid", "id", "score")
     schema = pa.schema([(n, pa.float64() if n == "score" else pa.int64()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, queries, best = None, [], None
+
+        def result() -> pa.RecordBatch:
+            values = (best.uid[best.row], best.ids[best.row], best.other, best.other_id, best.score)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in values], schema=schema)
+
         for batch in batches:
             for r in range(batch.num_rows):
-                dim, *blobs = (batch.column(i)[r].as_py() for i in range(batch.num_columns))
-                q_uid, q_id, c_uid, c_id = (np.frombuffer(blobs[i], "<i8") for i in (0, 1, 3, 4))
-                q, c = (np.frombuffer(blobs[i], number_type).astype(np.float64).reshape(-1, dim) for i in (2, 5))
-                i, uid, ids, score = tile(q, q_uid, c, c_uid, c_id, k)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q_uid[i], q_id[i], uid, ids, score)], schema=schema)
+                cell, kind, dim, uid, ids, vectors = (batch.column(i)[r].as_py() for i in range(batch.num_columns))
+                uid, ids = np.frombuffer(uid, "<i8"), np.frombuffer(ids, "<i8")
+                vectors = np.frombuffer(vectors, number_type).reshape(-1, dim)
+                if now != (cell, dim):
+                    if best:
+                        yield result()
+                    now, queries, best = (cell, dim), [], None
+                if kind == "q":
+                    queries.append((uid, ids, vectors))
+                    continue
+                if queries:
+                    best = Best(*(np.concatenate(x) for x in zip(*queries, strict=True)), k)
+                    queries = []
+                if best:
+                    best.meet(uid, ids, vectors)
+        if best:
+            yield result()
 
     return run
 
@@ -180,7 +240,7 @@ def _merge(k: int):
 
         def close():
             # Worst first in the heap; best first in the result.
-            for rank, (score, vec, _) in enumerate(sorted(heap, reverse=True), 1):
+            for rank, (_, vec, _, score) in enumerate(sorted(heap, key=lambda e: e[:3], reverse=True), 1):
                 out.append((now[1], rank, None if vec == -_NO_ID else -vec, score))
             heap.clear()
 
@@ -196,10 +256,11 @@ def _merge(k: int):
                     if now:
                         close()
                     now = (uid, query)
-                entry = (score, -vec, -other)
+                # Ranked by the first three; no two are equal in them.
+                entry = (-math.inf if math.isnan(score) else score, -vec, -other, score)
                 if len(heap) < k:
                     heapq.heappush(heap, entry)
-                elif entry > heap[0]:
+                elif entry[:3] > heap[0][:3]:
                     heapq.heapreplace(heap, entry)
             yield flush()
         if now:
@@ -214,15 +275,25 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     number_type = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
     wide = "array<float>" if number_type == "<f4" else "array<double>"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(wide).alias("v"))
-    blocks = cut_lineage(rows.mapInArrow(_pack(every, number_type), _BLOCKS))
-    candidates = blocks.filter("kind = 'c'").select(F.col("block").alias("c_block"), "dim", F.col("uid").alias("c_uid"), F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"))
-    queries = blocks.filter("kind = 'q'").select(F.col("block").alias("q_block"), "dim", F.col("uid").alias("q_uid"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    # The numbers of the blocks, not the blocks: the pairs are dealt evenly, then fetch their blocks.
-    left = queries.select("q_block", "dim", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    right = candidates.select("c_block", "dim", F.pmod(F.xxhash64("c_block"), F.lit(SALTS)).cast("int").alias("salt"))
-    pairs = left.join(right, ["dim", "salt"]).drop("salt")
-    tiles = pairs.join(queries.drop("dim"), "q_block").join(candidates.drop("dim"), "c_block").select("dim", "q_uid", "q_ids", "q_vectors", "c_uid", "c_ids", "c_vectors")
-    near = tiles.mapInArrow(_tiles(k, number_type), "q_uid long, q_id long, uid long, id long, score double")
+    # Few partitions where the rows are few, so that blocks get full.
+    part = max(1, -(-rows.count() // BLOCK))
+    blocks = cut_lineage(rows.coalesce(part).mapInArrow(_pack(every, number_type), _BLOCKS))
+    is_query = F.col("kind") == "q"
+    sums = blocks.agg(F.sum(F.when(is_query, F.col("size") * F.col("dim").cast("long"))), F.sum(F.when(~is_query, F.col("size"))), F.count_if(~is_query)).first()
+    numbers, candidates, n_blocks = (x or 0 for x in sums)
+    # The grid: shares of the queries by shares of the candidates.
+    high = max(1, -(-numbers // SHARE))
+    cells = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wide = max(1, min(n_blocks, max(-(-cells // high), -(-candidates // CELL_ROWS))))
+    place = (F.shiftright("block", 32) + F.col("block").bitwiseAND(F.lit((1 << 32) - 1))).cast("long")
+    every_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    payload = ["kind", "block", "dim", "uid", "ids", "vectors"]
+    left = blocks.filter(is_query).select((place % high).alias("i"), every_of(wide).alias("j"), *payload)
+    right = blocks.filter(~is_query).select(every_of(high).alias("i"), (place % wide).alias("j"), *payload)
+    laid = left.unionByName(right).withColumn("cell", F.col("i") * wide + F.col("j")).drop("i", "j")
+    # Queries ('q') before candidates ('c').
+    spread = laid.repartition("cell").sortWithinPartitions("cell", "dim", F.desc("kind"), "block")
+    near = spread.select("cell", "kind", "dim", "uid", "ids", "vectors").mapInArrow(_cells(k, number_type), "q_uid long, q_id long, uid long, id long, score double")
     return near.repartition("q_uid").sortWithinPartitions("q_uid").mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
 
 

@@ -61,12 +61,40 @@ def test_tiles_keep_every_near_pair(monkeypatch):
     q = np.vstack([c[:30], c[40:50]])
     uid = np.r_[0:30, 40:50]
     monkeypatch.setattr(ann, "EXACT_DIMS", 7)  # several stretches
-    i, other, ids, score = ann.tile(q, uid, c, np.arange(700), np.arange(700), 20)
+    monkeypatch.setattr(ann, "STRIP", 16)
+    best = ann.Best(uid, uid, q, 20)
+    for at in (0, 5, 300, 310):  # blocks smaller and larger than k
+        part = slice(at, {0: 5, 5: 300, 300: 310, 310: 700}[at])
+        best.meet(np.arange(700)[part], np.arange(700)[part], c[part])
     for k, own in enumerate(uid):
         s = np.array([ann.exact_products(q[k : k + 1], c[j : j + 1])[0] for j in range(700)])
         s[own] = -np.inf
         want = np.lexsort((np.arange(700), -s))[:20]
-        assert other[i == k].tolist() == want.tolist() and score[i == k].tolist() == s[want].tolist()
+        assert best.other[best.row == k].tolist() == want.tolist() and best.score[best.row == k].tolist() == s[want].tolist()
+
+
+def test_vectors_that_overflow(spark):
+    rng = np.random.default_rng(14)
+    rows = [(i, (rng.standard_normal(6) * (1e160 if 30 <= i < 60 else 1)).tolist()) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(frame, k=5, every=10).collect()
+    for q in range(0, 60, 10):
+        own = {r.vec_id: r.score for r in got if r.query_id == q}
+        assert len(own) == 5
+        with np.errstate(all="ignore"):
+            s = {j: float(ann.exact_products(np.array([rows[q][1]]), np.array([v]))[0]) for j, v in rows if j != q}
+        rank = sorted(s, key=lambda j: (-(-math.inf if math.isnan(s[j]) else s[j]), j))[:5]
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == rank
+        assert all(repr(own[j]) == repr(s[j]) for j in rank)
+
+
+def test_grid_of_several_shares_and_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(6)]) for i in range(500)]
+    # Constants are read on the driver, but for the size of a block.
+    monkeypatch.setattr(ann, "SHARE", 60)
+    monkeypatch.setattr(ann, "CELL_ROWS", 100)
+    assert run(spark, rows, k=7, every=5) == brute(rows, k=7, every=5)
 
 
 def test_error_bound_holds():
