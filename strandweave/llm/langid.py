@@ -12,12 +12,15 @@ response). For application the tables of two neighbouring offsets are added up o
 byte pairs, which halves the look-ups a byte.
 
 Scale: one pass without a shuffle. The model is about 13 MB and the same size for any corpus.
-Training reads a bounded sample: at most ``PER_LANG`` labelled documents of each language (the
-smallest id hashes) and ``WINDOWS`` windows of each, spread over the whole text.
+Training reads a bounded sample: at most ``per_lang`` labelled documents of each language (the
+smallest id hashes), ``windows`` windows of each, spread over the whole text, and ``most`` windows in
+all, shared evenly by the languages. The bound holds on the executors, before anything is collected,
+also where one id comes many times.
 
 Defined cases: null text and texts without a letter: ``und`` with score 1.0; labels that are null
 are not learned; if there is nothing to learn from, every text is ``und`` with score 0.0; ties go to
-the language that sorts first; repeated rows are scored alike; further columns are ignored.
+the language that sorts first; of very long texts all windows are scored, a stretch of texts at a time;
+repeated rows are scored alike; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +40,10 @@ UNDETERMINED = "und"
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 WINDOW = 256
-#: Bounds of the training sample: documents of a language, windows of a document.
+#: Bounds of the training sample: documents of a language, windows of a document, windows in all.
 PER_LANG = 500
 WINDOWS = 3
+MOST_WINDOWS = 200_000
 #: Parts into which the rows of a language are dealt before the sample is drawn.
 SALTS = 8
 EPOCHS = 12
@@ -115,8 +119,43 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, np.repeat(np.arange(len(texts)), counts), held
 
 
+def loss_and_gradients(net: ByteConvNet, windows: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """Weighted mean cross entropy of a batch, and its gradients by the net's tables, dense layer and
+    bias. The gradient of max pooling reaches the winning n-gram alone."""
+    x, n = windows.astype(np.intp), len(windows)
+    rows, hidden, best = np.arange(n)[:, None], [], []
+    for w in WIDTHS:
+        v = net.tables[w].copy()
+        v[:, 0, :] = PAD
+        a = v[0][x[:, :WINDOW]]
+        for o in range(1, w):
+            a += v[o][x[:, o : o + WINDOW]]
+        where = a.argmax(axis=1)
+        best.append(where)
+        hidden.append(np.take_along_axis(a, where[:, None, :], 1)[:, 0])
+    pooled = np.hstack(hidden)
+    act = np.maximum(pooled, 0)
+    z = act @ net.dense + net.bias
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    loss = -float((weight * np.log(p[np.arange(n), labels])).sum()) / n
+    p[np.arange(n), labels] -= 1
+    p *= weight[:, None] / n
+    grads = []
+    back = (p @ net.dense.T) * (pooled > 0)
+    for i, w in enumerate(WIDTHS):
+        g = np.zeros_like(net.tables[w])
+        part = back[:, i * FILTERS : (i + 1) * FILTERS]
+        for o in range(w):
+            np.add.at(g[o], (x[rows, best[i] + o], np.arange(FILTERS)[None, :]), part)
+        # The padding byte has a response of its own, which is not learned.
+        g[:, 0, :] = 0
+        grads.append(g)
+    return loss, [*grads, act.T @ p, p.sum(axis=0)]
+
+
 def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int = 7) -> ByteConvNet:
-    """Adam on the cross entropy; the gradient of max pooling reaches the winning n-gram alone."""
+    """Adam on the cross entropy."""
     rng = np.random.default_rng(seed)
     n_out, n_hid = len(langs), FILTERS * len(WIDTHS)
     net = ByteConvNet(
@@ -137,34 +176,7 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int =
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
-            x, y = windows[pick].astype(np.intp), labels[pick]
-            n = len(pick)
-            rows, hidden, best = np.arange(n)[:, None], [], []
-            for w in WIDTHS:
-                v = net.tables[w].copy()
-                v[:, 0, :] = PAD
-                a = v[0][x[:, :WINDOW]]
-                for o in range(1, w):
-                    a += v[o][x[:, o : o + WINDOW]]
-                where = a.argmax(axis=1)
-                best.append(where)
-                hidden.append(np.take_along_axis(a, where[:, None, :], 1)[:, 0])
-            pooled = np.hstack(hidden)
-            act = np.maximum(pooled, 0)
-            z = act @ net.dense + net.bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(n), y] -= 1
-            p *= weight[pick, None] / n
-            grads = []
-            back = (p @ net.dense.T) * (pooled > 0)
-            for i, w in enumerate(WIDTHS):
-                g = np.zeros_like(net.tables[w])
-                part = back[:, i * FILTERS : (i + 1) * FILTERS]
-                for o in range(w):
-                    np.add.at(g[o], (x[rows, best[i] + o], np.arange(FILTERS)[None, :]), part)
-                grads.append(g)
-            grads += [act.T @ p, p.sum(axis=0)]
+            _, grads = loss_and_gradients(net, windows[pick], labels[pick], weight[pick])
             step += 1
             for q, g, m, s in zip(params, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
@@ -173,20 +185,24 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int =
     return net
 
 
-def _sampled_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
-    """``lang, window`` of the sampled documents: at most WINDOWS windows a document, evenly spread."""
+def _sampled_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, windows: int, most: int) -> DataFrame:
+    """``lang, window`` of the sampled documents: at most ``windows`` a document, evenly spread."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
 
-    def least(rows: DataFrame, *keys) -> DataFrame:
-        order = Window.partitionBy("lang", *keys).orderBy("h", "id")
-        return rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_lang).drop("r")
+    def least(rows: DataFrame, n: Column | int, salt: Column, *order) -> DataFrame:
+        # First among the rows of one salt: a language of most rows is not one task's work.
+        for keys in (["lang", salt], ["lang"]):
+            place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+            rows = rows.withColumn("r", place).filter(F.col("r") <= n).drop("r")
+        return rows
 
-    # First among the rows of one salt: a language of most rows is not one task's work.
-    salt = F.pmod(F.col("h"), F.lit(SALTS))
-    ids = least(least(labelled.filter("lang is not null and id is not null"), salt)).select("id", "lang").distinct()
+    salt = lambda h: F.pmod(h, F.lit(SALTS))
+    ids = least(labelled.filter("lang is not null and id is not null"), per_lang, salt(F.col("h")), "h", "id").select("id", "lang").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # Counted: without the hint all texts would be shuffled for a few thousand of them.
-    few = small_or_shuffled(cut_lineage(ids))
+    ids = cut_lineage(ids)
+    n_langs = ids.select("lang").distinct().count()
+    few = small_or_shuffled(ids)
     chosen = texts.filter("text is not null").join(few, ["id", "lang"], "left_semi").select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("window", pa.binary())])
 
@@ -197,12 +213,15 @@ def _sampled_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
                 if not has_letter(text):
                     continue
                 rows, _, _ = windows_of([text.encode("utf-8")])
-                for i in sorted({len(rows) * k // WINDOWS for k in range(WINDOWS)}):
+                for i in sorted({len(rows) * k // windows for k in range(windows)}):
                     langs.append(lang)
                     found.append(rows[i].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], schema=schema)
 
-    return chosen.mapInArrow(run, "lang string, window binary")
+    cut = chosen.mapInArrow(run, "lang string, window binary").withColumn("h", F.xxhash64("window"))
+    # A repeated id brings more rows than it counts for; what is collected is bounded here.
+    quota = max(1, min(per_lang * windows, most // max(1, n_langs)))
+    return least(cut, quota, salt(F.shiftright("h", 8)), "h", "window").select("lang", "window")
 
 
 def fit(
@@ -211,21 +230,18 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     per_lang: int = PER_LANG,
+    windows: int = WINDOWS,
+    most: int = MOST_WINDOWS,
 ) -> ByteConvNet | None:
     """Train on a bounded sample; None if no document has both a letter and a label."""
-    got = _sampled_windows(docs, id_col, text_col, lang_col, per_lang).toArrow()
-    # A repeated id may bring more rows than the bound.
+    got = _sampled_windows(docs, id_col, text_col, lang_col, per_lang, windows, most).toArrow()
     rows = sorted(zip(got.column("lang").to_pylist(), got.column("window").to_pylist(), strict=True))
-    langs = sorted({lang for lang, _ in rows})
-    if not langs:
+    if not rows:
         return None
-    most, kept = per_lang * WINDOWS, []
-    for lang in langs:
-        own = [w for x, w in rows if x == lang]
-        kept += [(lang, own[i * len(own) // min(most, len(own))]) for i in range(min(most, len(own)))]
-    windows = np.frombuffer(b"".join(w for _, w in kept), np.uint8).reshape(-1, WINDOW + 3)
+    langs = sorted({lang for lang, _ in rows})
     at = {lang: i for i, lang in enumerate(langs)}
-    return train(windows, np.array([at[lang] for lang, _ in kept]), langs)
+    found = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW + 3)
+    return train(found, np.array([at[lang] for lang, _ in rows]), langs)
 
 
 def has_letter(text: str | None) -> bool:
