@@ -61,15 +61,62 @@ def test_capacity_borders():
     assert len(p.bins) == 4 and set(p.free.values()) == {0}
 
 
+def best_fit_decreasing(lengths):
+    plain = packing.Packing(lengths.tolist(), 4096)
+    plain.best_fit(np.argsort(-lengths, kind="stable").tolist())
+    return plain
+
+
 def test_genetic_steps_keep_every_piece_and_never_lose_to_best_fit():
     rng = np.random.default_rng(1)
     for seed in range(5):
         lengths = rng.integers(900, 2600, 120)
-        plain = packing.Packing(lengths.tolist(), 4096)
-        plain.best_fit(np.argsort(-lengths, kind="stable").tolist())
-        best = packing.evolve(lengths, [], [seed], 4096, 10)
-        again = packing.evolve(lengths, [best.codes()], [seed, 1], 4096, 10)
+        plain = best_fit_decreasing(lengths)
+        best, _ = packing.evolve(lengths, [], [seed], 4096, 10)
+        again, _ = packing.evolve(lengths, [best.codes()], [seed, 1], 4096, 10)
         for p in (best, again, packing.crossover(plain, best, rng), packing.mutate(best, rng)):
             assert sorted(i for g in p.groups() for i in g) == list(range(120))
-            assert all(lengths[g].sum() <= 4096 for g in p.groups())
+            assert all(lengths[g].sum() == 4096 - p.free[b] <= 4096 for b, g in p.bins.items())
+            assert p.order == sorted((f, b) for b, f in p.free.items())
         assert plain.fitness() <= best.fitness() <= again.fitness()
+
+
+def test_generations_gain_where_best_fit_is_above_the_bound():
+    rng = np.random.default_rng(2)
+    for low, high, gain in ((900, 2600, 4), (1200, 1900, 25), (1000, 4000, 0)):
+        lengths = rng.integers(low, high, 2048)
+        plain, least = best_fit_decreasing(lengths), packing.least_bins(lengths, 4096)
+        best, taken = packing.evolve(lengths, [], [1], 4096, packing.GENERATIONS)
+        assert least <= len(best.bins) <= len(plain.bins) - gain
+        # A stop before the last generation is a proof.
+        assert taken == packing.GENERATIONS or len(best.bins) == least
+
+
+def fewest_bins(lengths, capacity):
+    """Tries every place of every piece."""
+    best = len(lengths)
+
+    def place(k, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if k == len(lengths):
+            best = len(free)
+            return
+        for b in {f: i for i, f in enumerate(free) if f >= lengths[k]}.values():
+            place(k + 1, [f - lengths[k] * (i == b) for i, f in enumerate(free)])
+        place(k + 1, [*free, capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_no_packing_goes_below_the_least():
+    rng = np.random.default_rng(3)
+    tight = 0
+    for _ in range(150):
+        lengths = rng.integers(1, 21, rng.integers(1, 9))
+        least, fewest = packing.least_bins(lengths, 20), fewest_bins(lengths.tolist(), 20)
+        assert -(-int(lengths.sum()) // 20) <= least <= fewest
+        tight += least == fewest
+    assert tight > 120 and packing.least_bins(np.array([], int), 20) == 0

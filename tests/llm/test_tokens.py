@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -23,7 +24,7 @@ def texts():
 
 
 def test_byte_counts_equal_the_library(texts):
-    count, library = tokens.ByteCounts(BYTE), Tokenizer.from_file(BYTE)
+    count, library = tokens.ByteCounts(BYTE, tokens.prove(BYTE)), Tokenizer.from_file(BYTE)
     assert count.known and len(count.single) > 40_000
     assert [count(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
@@ -38,6 +39,45 @@ def test_word_ids_equal_the_library(texts, monkeypatch):
     assert [ids(t) for t in texts] == want
 
 
+def random_words(rng, n):
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "aeiost", "ABCDxyz", "éèüßñça", "0123456789", "!?.,#-=_", "a"]
+    return ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(1, 40))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_merges_equal_the_library(path):
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    library = Tokenizer.from_file(path)
+    pattern = tokens.regex.compile(tokens.WORD_PATTERN if path == WORD else tokens.BYTE_PATTERN)
+    words = random_words(random.Random(6), 4000)
+    words += [w for t in config["model"]["vocab"] if (w := t.replace("</w>", "").replace("Ġ", " ")) and w.isascii()][:8000]
+    words = [w for w in dict.fromkeys(w.lower() if path == WORD else w for w in words) if pattern.findall(w) == [w]]
+    got = {}
+    words = [w for w in words if len(w.encode()) <= tokens.LONG]
+    for numbers, ids, sizes in tokens.PairMerges(config)([w.encode() for w in words]):
+        got.update((words[i], row[:n]) for i, row, n in zip(numbers, ids.tolist(), sizes, strict=True))
+    assert len(words) > 5000 and got == {w: e.ids for w, e in zip(words, library.encode_batch(words, add_special_tokens=False), strict=True)}
+
+
+def test_mixed_scripts_send_little_to_the_library(monkeypatch):
+    rng = random.Random(8)
+    library = Tokenizer.from_file(BYTE)
+    count = tokens.ByteCounts(BYTE, tokens.prove(BYTE))
+    sent = []
+    monkeypatch.setattr(count, "_library", lambda t: sent.append(t) or len(library.encode(t, add_special_tokens=False).ids))
+    odd = ["“quoted”", "a—b", "你好", "naïve…", "😀", "\u200bx", "x\u0301", "\u2003", "\x85", "’s"]
+    bits = ["plain", "words", " ", "  ", "\n", "don't", "3.5", ","]
+    for _ in range(600):
+        text = " ".join(rng.choices(bits, k=rng.randint(0, 30)) + rng.choices(odd, k=rng.randint(0, 3)))
+        text = " ".join(rng.sample(text.split(" "), text.count(" ") + 1)) + rng.choice(["", " ", "\n", "”"])
+        assert count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+    sent.clear()
+    text = "many plain words stand here in one row " * 500 + "“one quote” " + "and many more of them stand behind it " * 500
+    assert count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert sum(map(len, sent)) < 40
+
+
 def test_query(spark, small):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     library = Tokenizer.from_file(BYTE)
