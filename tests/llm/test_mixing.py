@@ -52,6 +52,28 @@ def test_hot_and_tiny_sources(spark):
     assert all(mixed.get(r.doc_id, 0) * r.size == r.taken for r in first)
 
 
+def test_null_ids_and_repeats_come_near_the_target(spark):
+    words = F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 50 + 1).cast("int")), " ")
+    ids = F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id"))
+    docs = spark.range(4000).select(ids.alias("doc_id"), F.when(F.col("id") % 3 == 0, "one text that comes again and again").otherwise(words).alias("text"), F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("source"))
+    rows = check(mixing.mix_report(docs))
+    for s in ("s0", "s1", "s2", "s3"):
+        own = [r for r in rows if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 25.5
+    mixed = mixing.mix(docs).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()
+    assert {r.source: r.n for r in mixed} == {s: sum(r.taken for r in rows if r.source == s) for s in {r.source for r in rows}}
+    # A single group of exact copies.
+    same = spark.range(1001).select(F.lit(5).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") < 600, "x").otherwise("y").alias("source"))
+    rows = check(mixing.mix_report(same.repartition(5)))
+    for s in "xy":
+        assert abs(sum(r.taken for r in rows if r.source == s) - next(r.target for r in rows if r.source == s)) <= 1.5
+
+
+def test_many_sources(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.concat(F.lit("s"), (F.col("id") * F.col("id") % 997).cast("string")).alias("source"))
+    check(mixing.mix_report(docs))
+
+
 def test_odd_rows(spark):
     rows = mixing.mix_report(edge_docs(spark)).collect()
     assert len(rows) == 16
