@@ -1,13 +1,12 @@
 """Similarity of strings and token sets.
 
-Set measures and the character multiset ratio are column expressions. Jaro-Winkler, the two token
-ratios and the n-gram cosine share one vectorised Python function.
+Set measures, the character multiset ratio and the n-gram cosine are column expressions, and so are the
+token arrays of the two token ratios. What is left to one vectorised Python function are Jaro-Winkler and
+the sequence ratio, for which Spark has no built-in.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -15,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import SPACE
+from .text import SPACE, pieces
 
 
 def grams(text: Column, n: int = 3) -> Column:
@@ -48,6 +47,33 @@ def char_ratio(a: Column, b: Column) -> Column:
     return _guarded(a, b, F.try_divide(2.0 * shared, F.length(a) + F.length(b)))
 
 
+def gram_cosine(a: Column, b: Column, n: int = 3) -> Column:
+    """Cosine of the n-gram counts; texts shorter than n only match if equal without white space."""
+    bare = lambda x: F.regexp_replace(x, rf"[{SPACE}]+", "")
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.lit("").alias("g"), zero.alias("l"), zero.alias("r"), zero.alias("ll"), zero.alias("rr"), zero.alias("lr"))
+
+    def step(s: Column, x: Column) -> Column:
+        """Along the sorted grams of both: how many of this gram came before on either side. Each new one
+        adds its like on the other side to the product, and twice its like plus one to its own square."""
+        same = s["g"] == x["g"]
+        l, r = F.when(same, s["l"]).otherwise(zero), F.when(same, s["r"]).otherwise(zero)
+        left = x["side"] == 0
+        return F.struct(
+            x["g"].alias("g"),
+            (l + F.when(left, 1).otherwise(0)).alias("l"),
+            (r + F.when(left, 0).otherwise(1)).alias("r"),
+            (s["ll"] + F.when(left, 2 * l + 1).otherwise(0)).alias("ll"),
+            (s["rr"] + F.when(left, 0).otherwise(2 * r + 1)).alias("rr"),
+            (s["lr"] + F.when(left, r).otherwise(l)).alias("lr"),
+        )
+
+    tagged = lambda x, side: F.transform(grams(x, n), lambda g: F.struct(g.alias("g"), F.lit(side).alias("side")))
+    found = F.aggregate(F.array_sort(F.concat(tagged(a, 0), tagged(b, 1))), start, step, lambda s: F.try_divide(s["lr"], F.sqrt(s["ll"]) * F.sqrt(s["rr"])))
+    short = (F.length(bare(a)) < n) | (F.length(bare(b)) < n)
+    return _guarded(a, b, F.when(short, (bare(a) == bare(b)).cast("double")).otherwise(found))
+
+
 def length_gap(a: Column, b: Column) -> Column:
     return F.abs(F.length(a) - F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
@@ -92,59 +118,57 @@ def jaro_winkler(a: str, b: str, weight: float = 0.1, longest: int = 4) -> float
     return jaro + prefix * weight * (1.0 - jaro)
 
 
-def _ratio(a: str, b: str) -> float:
+def sequence_ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-def token_sort(a: str, b: str) -> float:
-    known = _equal_or_empty(a, b)
-    return known if known is not None else _ratio(*(" ".join(sorted(s.split())) for s in (a, b)))
+def _joined(tokens: Column) -> Column:
+    return F.array_join(F.array_sort(tokens), " ")
 
 
-def token_set(a: str, b: str) -> float:
-    known = _equal_or_empty(a, b)
-    if known is not None:
-        return known
-    x, y = set(a.split()), set(b.split())
-    joined = lambda s: " ".join(sorted(s))
-    core = joined(x & y)
-    left, right = (f"{core} {joined(s)}".strip() for s in (x - y, y - x))
-    scores = [_ratio(left, right)]
-    if core:
-        scores += [_ratio(core, left), _ratio(core, right)]
-    return max(scores)
+def sorted_text(text: Column) -> Column:
+    """The words in order, one space apart."""
+    return _joined(pieces(text))
 
 
-def gram_cosine(a: str, b: str, n: int = 3) -> float:
-    """Cosine of the n-gram counts; texts shorter than n only match if equal without white space."""
-    known = _equal_or_empty(a, b)
-    if known is not None:
-        return known
-    a, b = ("".join(s.split()) for s in (a, b))
-    if min(len(a), len(b)) < n:
-        return float(a == b)
-    x, y = (Counter(s[i : i + n] for i in range(len(s) - n + 1)) for s in (a, b))
-    norm = lambda v: math.sqrt(sum(c * c for c in v.values()))
-    return sum(c * y[g] for g, c in x.items() if g in y) / (norm(x) * norm(y))
+def token_set_texts(a: Column, b: Column) -> tuple[Column, Column, Column]:
+    """The shared words in order, and those with the words of one side behind them."""
+    x, y = F.array_distinct(pieces(a)), F.array_distinct(pieces(b))
+    core = _joined(F.array_intersect(x, y))
+    side = lambda u, v: F.btrim(F.concat(core, F.lit(" "), _joined(F.array_except(u, v))))
+    return core, side(x, y), side(y, x)
+
+
+#: Measures that need Python: by name, the kind and the column prefix of the texts.
+SEQUENCE_FIELDS = ["name_jaro_winkler", "name_token_sort", "name_token_set", "addr_jaro_winkler", "addr_token_sort"]
 
 
-SEQUENCE_FIELDS = [
-    "name_jaro_winkler", "name_token_sort", "name_token_set", "name_char3_cosine",
-    "addr_jaro_winkler", "addr_token_sort", "addr_char3_cosine",
-]
+def _guard(a: pd.Series, b: pd.Series, measure) -> list[float]:
+    return [k if (k := _equal_or_empty(x, y)) is not None else measure(i) for i, (x, y) in enumerate(zip(a, b, strict=True))]
 
 
 @F.pandas_udf(T.StructType([T.StructField(f, T.DoubleType()) for f in SEQUENCE_FIELDS]))
-def sequence_measures(n1: pd.Series, n2: pd.Series, a1: pd.Series, a2: pd.Series) -> pd.DataFrame:
+def _sequence_measures(n1: pd.Series, n2: pd.Series, a1: pd.Series, a2: pd.Series, sorts: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     """All sequence measures of a batch of pairs in one pass."""
-    names, addresses = list(zip(n1, n2, strict=True)), list(zip(a1, a2, strict=True))
+    sort_ratio = lambda p: lambda i: sequence_ratio(sorts[f"{p}1"][i], sorts[f"{p}2"][i])
+
+    def set_ratio(i: int) -> float:
+        core, left, right = (sets[c][i] for c in ("core", "left", "right"))
+        # Without a shared word only the two sides are compared.
+        return max(sequence_ratio(x, y) for x, y in ([(left, right), (core, left), (core, right)] if core else [(left, right)]))
+
     columns = [
-        [jaro_winkler(*p) for p in names],
-        [token_sort(*p) for p in names],
-        [token_set(*p) for p in names],
-        [gram_cosine(*p) for p in names],
-        [jaro_winkler(*p) for p in addresses],
-        [token_sort(*p) for p in addresses],
-        [gram_cosine(*p) for p in addresses],
+        [jaro_winkler(x, y) for x, y in zip(n1, n2, strict=True)],
+        _guard(n1, n2, sort_ratio("n")),
+        _guard(n1, n2, set_ratio),
+        [jaro_winkler(x, y) for x, y in zip(a1, a2, strict=True)],
+        _guard(a1, a2, sort_ratio("a")),
     ]
     return pd.DataFrame(dict(zip(SEQUENCE_FIELDS, columns, strict=True)))
+
+
+def sequence_measures(n1: Column, n2: Column, a1: Column, a2: Column) -> Column:
+    """A struct of ``SEQUENCE_FIELDS`` for the names and addresses of a pair."""
+    core, left, right = token_set_texts(n1, n2)
+    sorts = F.struct(sorted_text(n1).alias("n1"), sorted_text(n2).alias("n2"), sorted_text(a1).alias("a1"), sorted_text(a2).alias("a2"))
+    return _sequence_measures(n1, n2, a1, a2, sorts, F.struct(core.alias("core"), left.alias("left"), right.alias("right")))

@@ -50,7 +50,10 @@ def _latin_table() -> tuple[str, str, str]:
         else:
             source.append(c)
             base.append(bare)
-    covered = "".join(f"\\u{ord(c):04x}" for c in sorted(source + plain))
+    # As ranges: a class of single characters would be tried one by one.
+    codes = {ord(c) for c in source + plain}
+    starts, ends = sorted(c for c in codes if c - 1 not in codes), sorted(c for c in codes if c + 1 not in codes)
+    covered = "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends, strict=True))
     return "".join(source), "".join(base), rf"^[\t\n\x0b\f\r\x20-\x7e{covered}]*$"
 
 

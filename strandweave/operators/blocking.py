@@ -6,9 +6,11 @@ reasons, and a window keeps the best k candidates of each query. Queries from a
 doesn't have join on (rule, key) alone, and so reach all countries.
 
 Scale: what is joined and shuffled are key rows without texts; keys whose postings exceed their cap
-are dropped before the join, by a count that is pre-aggregated. Rules 1, 3 and 4 have no cap, so their
-hot keys are left to Spark's skew-join splitting. The aggregate needs one shuffle by (query,
-candidate); the top-k window filters in each task before it shuffles.
+are dropped before the join, by a count that is pre-aggregated. The postal rule only adds to pairs that
+others have found, so its keys are not joined: both sides carry their postal code, and a pair's codes are
+compared. Rules 1, 3 and 4 have no cap, so their hot keys are left to Spark's skew-join splitting. The
+aggregate needs one shuffle by (query, candidate); the top-k window filters in each task before it
+shuffles.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ RULES = {"compact_name": 1, "token_overlap": 2, "num_street": 3, "plot_num": 4,
 #: Points of a rule; of 2 and 6 for each hit.
 POINTS = {1: 12, 2: 5, 3: 6, 4: 6, 5: 4, 6: 4}
 NAME_TOKEN_LEAST, ADDR_TOKEN_LEAST = 3, 4
+#: Rules whose keys are joined, and the one that is compared in the pairs found.
+JOINED, POSTAL = (1, 2, 3, 4, 6), 5
 #: Added to the candidates of a later source, so that they follow those of the earlier ones.
 SOURCE_STRIDE = 1 << 40
 
@@ -41,7 +45,7 @@ def candidate_pool(second: DataFrame, third: DataFrame) -> DataFrame:
     return number(second, 0).unionByName(number(third, 1))
 
 
-def _keys(with_position: bool) -> Column:
+def _keys(rules=tuple(POINTS)) -> Column:
     entry = lambda rule, key, pos: F.struct(F.lit(rule).alias("rule"), key.alias("key"), pos.cast("int").alias("pos"))
     def single(rule: int, column: str) -> Column:
         return F.filter(F.array(entry(rule, F.col(column), F.lit(0))), lambda e: e["key"] != "")
@@ -49,48 +53,57 @@ def _keys(with_position: bool) -> Column:
     def many(rule: int, column: str, least: int) -> Column:
         return F.filter(F.transform(column, lambda t, i: entry(rule, t, i)), lambda e: F.length(e["key"]) >= least)
 
-    return F.concat(
-        single(1, "n_compact"),
-        many(2, "n_tokens", NAME_TOKEN_LEAST),
-        single(3, "a_num_word"),
-        single(4, "a_plot"),
-        single(5, "a_postal"),
-        many(6, "a_tokens", ADDR_TOKEN_LEAST),
-    )
+    every = {
+        1: single(1, "n_compact"),
+        2: many(2, "n_tokens", NAME_TOKEN_LEAST),
+        3: single(3, "a_num_word"),
+        4: single(4, "a_plot"),
+        5: single(5, "a_postal"),
+        6: many(6, "a_tokens", ADDR_TOKEN_LEAST),
+    }
+    return F.concat(*[every[r] for r in rules])
 
 
 def postings(pool: DataFrame) -> DataFrame:
     """``country, rule, key, cand_idx``; one row for each occurrence."""
-    return pool.select("country", "cand_idx", F.inline(_keys(False))).drop("pos")
+    return pool.select("country", "cand_idx", F.inline(_keys())).drop("pos")
 
 
 def posting_sizes(posts: DataFrame) -> DataFrame:
     return posts.groupBy("country", "rule", "key").agg(F.count("*").alias("n"))
 
 
+def _over_cap(posts: DataFrame, config: BlockingConfig) -> DataFrame:
+    cap = F.when(F.col("rule").isin(2, 5), config.max_postings).when(F.col("rule") == 6, config.max_addr_postings)
+    return posting_sizes(posts.filter(F.col("rule").isin(2, 5, 6))).filter(F.col("n") > cap).drop("n")
+
+
 def capped_postings(posts: DataFrame, config: BlockingConfig) -> DataFrame:
     """Without the keys that exceed their cap (rules 2, 5 and 6)."""
-    cap = F.when(F.col("rule").isin(2, 5), config.max_postings).when(F.col("rule") == 6, config.max_addr_postings)
-    over = posting_sizes(posts.filter(F.col("rule").isin(2, 5, 6))).filter(F.col("n") > cap).drop("n")
-    return posts.join(over, ["country", "rule", "key"], "left_anti")
+    return posts.join(_over_cap(posts, config), ["country", "rule", "key"], "left_anti")
 
 
-def query_keys(queries: DataFrame) -> DataFrame:
-    """``q_row, country, min_hits, rule, key, pos``."""
+def query_keys(queries: DataFrame, rules=tuple(POINTS)) -> DataFrame:
+    """``q_row, country, min_hits, postal, rule, key, pos``."""
     need = F.when(F.size("n_tokens") <= 2, 1).otherwise(2)
-    return queries.select(F.col("row_id").alias("q_row"), "country", need.alias("min_hits"), F.inline(_keys(True)))
+    return queries.select(F.col("row_id").alias("q_row"), "country", need.alias("min_hits"), F.col("a_postal").alias("postal"), F.inline(_keys(rules)))
 
 
-def key_matches(queries: DataFrame, pool: DataFrame, config: BlockingConfig) -> DataFrame:
-    """``q_row, cand_idx, rule, pos, min_hits, country_first``; one row for each hit of a key."""
-    posts = capped_postings(postings(pool), config)
+def key_matches(queries: DataFrame, pool: DataFrame, config: BlockingConfig, rules=JOINED) -> DataFrame:
+    """``q_row, cand_idx, rule, pos, min_hits, country_first, same_postal``; one row for each hit of a key."""
+    over = _over_cap(postings(pool), config)
+    # A code over its cap is no code.
+    hot = over.filter(F.col("rule") == POSTAL).select("country", F.col("key").alias("a_postal"), F.lit(True).alias("_hot"))
+    marked = pool.join(hot, ["country", "a_postal"], "left").withColumn("_code", F.when(F.col("_hot").isNull() & (F.col("a_postal") != ""), F.col("a_postal")))
+    posts = marked.select("country", "cand_idx", "_code", F.inline(_keys(rules))).drop("pos").join(over, ["country", "rule", "key"], "left_anti")
     countries = pool.groupBy("country").agg(F.min("cand_idx").alias("country_first"))
-    keys = query_keys(queries)
+    keys = query_keys(queries, rules)
     known = keys.join(countries, "country").join(posts, ["country", "rule", "key"])
     # Other countries: their keys meet the postings of all.
     foreign = keys.join(countries, "country", "left_anti").drop("country")
     unknown = foreign.join(posts, ["rule", "key"]).join(countries, "country")
-    cols = ["q_row", "cand_idx", "rule", "pos", "min_hits", "country_first"]
+    same = F.coalesce(F.col("_code") == F.col("postal"), F.lit(False)).alias("same_postal")
+    cols = ["q_row", "cand_idx", "rule", "pos", "min_hits", "country_first", same]
     return known.select(*cols).unionByName(unknown.select(*cols))
 
 
@@ -98,7 +111,8 @@ def scored(matches: DataFrame, config: BlockingConfig) -> DataFrame:
     """``q_row, cand_idx, score, reasons`` and the order of first insertion, of every candidate."""
     of = lambda rule: F.col("rule") == rule
     t = matches.groupBy("q_row", "cand_idx").agg(
-        *[F.count_if(of(r)).alias(f"h{r}") for r in RULES.values()],
+        *[F.count_if(of(r)).alias(f"h{r}") for r in JOINED],
+        F.max("same_postal").alias("same_postal"),
         *[F.min(F.when(of(r), F.col("pos"))).alias(f"p{r}") for r in (2, 6)],
         F.max("min_hits").alias("min_hits"),
         F.min("country_first").alias("country_first"),
@@ -107,7 +121,7 @@ def scored(matches: DataFrame, config: BlockingConfig) -> DataFrame:
     kept[2] = F.col("h2") >= F.col("min_hits")
     kept[6] = F.col("h6") >= config.addr_hits
     # The postal rule only adds to candidates that an earlier rule has found.
-    kept[5] = (F.col("h5") > 0) & (kept[1] | kept[2] | kept[3] | kept[4])
+    kept[5] = F.col("same_postal") & (kept[1] | kept[2] | kept[3] | kept[4])
     points = [F.when(kept[r], POINTS[r] * (F.col(f"h{r}") if r in (2, 6) else 1)).otherwise(0) for r in sorted(kept)]
     reasons = F.array_compact(F.array(*[F.when(kept[r], F.lit(name)) for name, r in sorted(RULES.items())]))
     first = F.coalesce(*[F.when(kept[r], F.lit(r)) for r in (1, 2, 3, 4, 6)])

@@ -50,6 +50,7 @@ def native_features() -> dict[str, Column]:
             f"{p}_token_jaccard": S.jaccard(*both(tokens)),
             f"{p}_overlap_coeff": S.overlap_coefficient(*both(tokens)),
             f"{p}_char3_jaccard": S.jaccard(F.col(f"l_{p}_grams"), F.col(f"r_{p}_grams")),
+            f"{p}_char3_cosine": S.gram_cosine(*both(text)),
             f"{p}_seq_ratio": S.char_ratio(*both(text)),
             f"{p}_len_diff_ratio": S.length_gap(*both(text)),
         }
@@ -62,6 +63,6 @@ def pair_features(pairs: DataFrame, queries: DataFrame, pool: DataFrame, sequenc
     t = joined_pairs(pairs, queries, pool)
     found = native_features()
     if sequence:
-        t = t.withColumn("_seq", S.sequence_measures("l_n_text", "r_n_text", "l_a_text", "r_a_text"))
+        t = t.withColumn("_seq", S.sequence_measures(*[F.col(c) for c in ("l_n_text", "r_n_text", "l_a_text", "r_a_text")]))
         found |= {f: F.col(f"_seq.{f}") for f in S.SEQUENCE_FIELDS}
     return t.select(*pairs.columns, *[found[f].cast("float").alias(f) for f in FEATURE_NAMES if f in found])

@@ -26,11 +26,15 @@ GBT_FOLDER, FOREST_FOLDER, METADATA_FOLDER = "gbt_model", "forest_model", "metad
 
 
 def group_split(rows: DataFrame, key: str = "s1_id", share: float = VALIDATION_SHARE, seed: int = SEED) -> DataFrame:
-    """``rows`` with ``is_val``: about ``share`` of the keys, each wholly on one side.
+    """``rows`` with ``is_val``: ``share`` of the keys, rounded up, each wholly on one side.
 
-    A key's side depends on its hash alone: no sort, no count, and the same on every run."""
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 20)) / float(1 << 20)
-    return rows.withColumn("is_val", place < share)
+    Those with the smallest hashes are held out: the same ones on every run. The keys are sorted by all
+    tasks, and what is joined back is one row a key."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    keys = rows.select(key).filter(F.col(key).isNotNull()).distinct()
+    n = math.ceil(keys.count() * share)
+    held = keys.orderBy(h, key).limit(n).select(F.col(key).alias("_k"), F.lit(True).alias("_v"))
+    return rows.join(held, F.col(key) == F.col("_k"), "left").withColumn("is_val", F.coalesce("_v", F.lit(False))).drop("_k", "_v")
 
 
 @dataclass
@@ -42,6 +46,7 @@ class Tuning:
     val_macro_f05: float
     blocking_recall_ceiling: float
     features: list[str]
+    gpu_active: bool = False
 
 
 class Ensemble:

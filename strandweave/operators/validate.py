@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MATCHING_HEADER = ["source1_entity_id", "matched_entity_ids"]
@@ -11,15 +11,14 @@ EXAMPLES = 5
 REPORT = "file string, severity string, finding string, n long, examples string"
 
 
-def header_problem(header: str | None, expected: list[str]) -> str | None:
-    """Name of the first check that a header line fails."""
-    if not header:
-        return "empty_file"
-    if "\t" not in header and "," in header:
-        return "comma_separated"
-    if [c.strip().lower() for c in header.split("\t")] != expected:
-        return "unexpected_header"
-    return None
+def header_problem(header: Column, expected: list[str]) -> Column:
+    """Name of the first check that a header line fails; null if none."""
+    columns = F.transform(F.split(header, "\t"), lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", "")))
+    return (
+        F.when(header.isNull() | (header == ""), "empty_file")
+        .when(~F.contains(header, F.lit("\t")) & F.contains(header, F.lit(",")), "comma_separated")
+        .when(columns != F.array(*map(F.lit, expected)), "unexpected_header")
+    )
 
 
 def id_rows(lines: DataFrame) -> DataFrame:
@@ -34,37 +33,41 @@ def id_rows(lines: DataFrame) -> DataFrame:
     return lines.filter((at > 0) | ~blank).select("line", s1.alias("s1"), ids.alias("ids"), (at == 0).alias("malformed"))
 
 
-def _finding(offenders: DataFrame, file: str, check: str, severity: str = "error") -> DataFrame:
-    """One row with the number of offenders (column ``o``) and the first few; none without any."""
-    names = offenders.select(F.col("o").cast("string").alias("o")).distinct()
-    few = names.orderBy("o").limit(EXAMPLES).agg(F.array_join(F.array_sort(F.collect_list("o")), ", ").alias("few"))
-    t = names.agg(F.count("*").alias("n")).withColumn("few", few.scalar()).filter("n > 0")
+def _summary(offenders: DataFrame, file: str) -> DataFrame:
+    """One row a finding with the number of its offenders and the first few. ``offenders``: (severity,
+    finding, o). The few are cut in each task before they are shuffled, and the numbers are pre-aggregated."""
+    names = offenders.distinct()
+    place = F.row_number().over(Window.partitionBy("severity", "finding").orderBy("o"))
+    few = names.withColumn("r", place).filter(F.col("r") <= EXAMPLES).groupBy("severity", "finding").agg(F.array_join(F.array_sort(F.collect_list("o")), ", ").alias("few"))
+    t = names.groupBy("severity", "finding").agg(F.count("*").alias("n")).join(few, ["severity", "finding"])
     text = F.when(F.col("n") > EXAMPLES, F.concat(F.col("n").cast("string"), F.lit(" total, e.g. "), F.col("few"), F.lit(", ..."))).otherwise(F.col("few"))
-    return t.select(F.lit(file).alias("file"), F.lit(severity).alias("severity"), F.lit(check).alias("finding"), "n", text.alias("examples"))
+    return t.select(F.lit(file).alias("file"), "severity", "finding", "n", text.alias("examples"))
+
+
+def row_offenders(rows: DataFrame, required: DataFrame) -> DataFrame:
+    """``severity, finding, o`` of one file's rows against the required ids (column ``s1``): one pass for
+    what a row shows by itself, and one full join of the ids for what their set shows."""
+    good, own = ~F.col("malformed"), lambda c: F.startswith(c, F.lit("S1-"))
+    of_prefix = lambda c: F.when(own(c), "self_match").when(~(F.startswith(c, F.lit("S2-")) | F.startswith(c, F.lit("S3-"))), "wrong_prefix")
+    entry = lambda finding, o: F.struct(finding.alias("finding"), o.alias("o"))
+    none = F.lit(None).cast("string")
+    of_row = F.array(
+        entry(F.when(~good, "malformed_row").otherwise(none), F.col("line").cast("string")),
+        entry(F.when(good & (F.size("ids") != F.size(F.array_distinct("ids"))), "repeated_id").otherwise(none), F.col("s1")),
+    )
+    of_ids = F.when(good, F.transform("ids", lambda c: entry(of_prefix(c), c)))
+    every = F.filter(F.concat(of_row, F.coalesce(of_ids, F.array().cast("array<struct<finding:string,o:string>>"))), lambda e: e["finding"].isNotNull())
+    by_row = rows.select(F.inline(every))
+    seen = rows.filter(good).groupBy("s1").agg(F.count("*").alias("n"))
+    both = seen.join(required.select("s1").distinct().withColumn("needed", F.lit(True)), "s1", "full")
+    checks = F.array(F.when(F.col("n") > 1, "duplicate_row"), F.when(F.col("n").isNull(), "missing_entity"), F.when(F.col("needed").isNull(), "unexpected_entity"))
+    by_id = both.select(F.explode(F.array_compact(checks)).alias("finding"), F.col("s1").alias("o"))
+    return by_row.unionByName(by_id).select(F.lit("error").alias("severity"), "finding", "o")
 
 
 def row_findings(rows: DataFrame, required: DataFrame, file: str) -> DataFrame:
     """All checks of one file's rows against the required ids (column ``s1``)."""
-    good = rows.filter(~F.col("malformed"))
-    ids = good.select("s1", F.explode("ids").alias("o"))
-    own = lambda c: F.startswith(c, F.lit("S1-"))
-    foreign = lambda c: ~(own(c) | F.startswith(c, F.lit("S2-")) | F.startswith(c, F.lit("S3-")))
-    seen, needed = good.select("s1").distinct(), required.select("s1").distinct()
-    name = lambda df: df.select(F.col("s1").alias("o"))
-    checks = [
-        ("malformed_row", rows.filter("malformed").select(F.col("line").alias("o"))),
-        ("duplicate_row", name(good.groupBy("s1").agg(F.count("*").alias("n")).filter("n > 1"))),
-        ("repeated_id", name(good.filter(F.size("ids") != F.size(F.array_distinct("ids"))))),
-        ("self_match", ids.filter(own(F.col("o")))),
-        ("wrong_prefix", ids.filter(foreign(F.col("o")))),
-        ("missing_entity", name(needed.join(seen, "s1", "left_anti"))),
-        ("unexpected_entity", name(seen.join(needed, "s1", "left_anti"))),
-    ]
-    out = None
-    for check, offenders in checks:
-        one = _finding(offenders, file, check)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return _summary(row_offenders(rows, required), file)
 
 
 def subset_warning(matched: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -75,7 +78,8 @@ def subset_warning(matched: DataFrame, candidates: DataFrame) -> DataFrame:
 
     m = last(matched).select("s1", F.explode("ids").alias("id"))
     c = last(candidates).select("s1", F.explode("ids").alias("id"))
-    return _finding(m.join(c, ["s1", "id"], "left_anti").select(F.col("s1").alias("o")), "matching", "not_among_candidates", "warning")
+    offenders = m.join(c, ["s1", "id"], "left_anti").select(F.lit("warning").alias("severity"), F.lit("not_among_candidates").alias("finding"), F.col("s1").alias("o"))
+    return _summary(offenders, "matching")
 
 
 def counters(rows: DataFrame) -> DataFrame:
@@ -106,7 +110,7 @@ def validate_files(spark, matching_path: str, candidate_path: str, source1_path:
     found, rows = [], {}
     for file, path, expected in (("matching", matching_path, MATCHING_HEADER), ("candidates", candidate_path, CANDIDATE_HEADER)):
         got = header_and_lines(spark, path)
-        check = "file_not_found" if got is None else header_problem(got[0], expected)
+        check = "file_not_found" if got is None else spark.range(1).select(header_problem(F.lit(got[0]).cast("string"), expected)).first()[0]
         if check:
             found.append(problem(file, check))
         else:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalise
 from ..operators.blocking import candidate_pool
 from ..operators.metrics import labelled
+from ..sources.scratch import cut_lineage
 
 #: Structured entities from ``part``; the same text runs in DuckDB.
 PARTS_SQL = """
@@ -18,21 +19,14 @@ select p_partkey as row_id,
    when 1 then concat(upper(p_name), ' ', replace(p_brand,'#','-'), ' Inc.')
    else concat('@', replace(p_name,' ',''), ' ', replace(p_brand,'#',' '), ' LLC') end as business_name,
  concat(lpad(cast(p_size as varchar(20)),5,'0'), ' ', lower(p_type), ' street, ',
-        cast(10000 + p_partkey % 40 as varchar(20)), ' near ', p_name) as business_address,
+        cast(10000 + p_partkey % 40 as varchar(20)), ' near ', p_name,
+        case when p_partkey % 4 = 1 then concat(' plot ', cast(p_partkey % 7 as varchar(20)), '-', cast(p_size % 5 as varchar(20)), '/a') else '' end) as business_address,
  case p_partkey % 5 when 0 then 'US' when 1 then 'India' when 2 then 'US' when 3 then 'India' else 'France' end as country,
  p_name, p_brand
 from part"""
 
-#: Free text entities from ``documents``; names and addresses are the first two sentences, names at
-#: most 80 characters long.
+#: Free text entities from ``documents``: the whole text is the name, and the address.
 DOCUMENTS_SQL = """
-select doc_id as row_id,
- concat('S', cast(1 + doc_id % 3 as varchar(20)), '-', cast(doc_id as varchar(20))) as entity_id,
- substr(split_part(text,'.',1), 1, 80) as business_name, split_part(text,'.',2) as business_address, lang as country
-from documents"""
-
-#: Whole documents as names.
-TEXTS_SQL = """
 select doc_id as row_id,
  concat('S', cast(1 + doc_id % 3 as varchar(20)), '-', cast(doc_id as varchar(20))) as entity_id,
  text as business_name, text as business_address, lang as country
@@ -59,8 +53,9 @@ def linked_sides(spark: SparkSession, sf_dir: str, sql: str = PARTS_SQL, foreign
     if foreign:
         queries = queries.withColumn("country", F.when(F.col("row_id") % 6 == 0, "Atlantis").otherwise(F.col("country")))
     pool = candidate_pool(source(rows, 2).select(*COLUMNS), source(rows, 3).select(*COLUMNS))
-    # Blocking reads either side several times; normalising is the dear part. Lost partitions are made again.
-    return normalise(queries, ["row_id", "entity_id"]).persist(), normalise(pool, ["cand_idx", "entity_id"]).persist()
+    # Blocking reads either side several times; normalising is the dear part. The sides are written once to
+    # the checkpoint folder, which is emptied when nothing refers to them any more.
+    return cut_lineage(normalise(queries, ["row_id", "entity_id"])), cut_lineage(normalise(pool, ["cand_idx", "entity_id"]))
 
 
 def part_truth(spark: SparkSession, sf_dir: str) -> DataFrame:

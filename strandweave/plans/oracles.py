@@ -5,7 +5,8 @@ from __future__ import annotations
 from ..functions.text import GENERIC_WORDS, LEGAL_SUFFIXES
 from ..operators.blocking import RULES, SOURCE_STRIDE
 from ..operators.metrics import THRESHOLDS, WEIGHTS
-from .adapters import DOCUMENTS_SQL, PARTS_SQL, TEXTS_SQL
+from ..operators.learn import SEED, VALIDATION_SHARE
+from .adapters import DOCUMENTS_SQL, PARTS_SQL
 
 _W = r"\p{L}\p{N}_"
 _LEFT, _RIGHT = rf"(?:^|[^{_W}])", rf"(?:$|[^{_W}])"
@@ -246,13 +247,38 @@ select 'matching' as file, severity, finding, max(n)::bigint as n,
   case when max(n) > 5 then max(n) || ' total, e.g. ' || string_agg(o, ', ' order by o) filter (r <= 5) || ', ...' else string_agg(o, ', ' order by o) end as examples
 from ranked group by severity, finding"""
 
+RESULT_LINES = f"{_with(base(), MATCHES, SIDES, BLEND, ACCEPTED)}, matches_of as ({_lists('accepted', 'matched_entity_ids')}), candidates_of as ({_lists('pairs', 'candidate_entity_ids')})"
+
+#: By pair of texts. A character of a takes the first free equal one of b within the window; a match is the
+#: list element i * 2^20 + j, counted from 0.
+JARO_WINKLER = """
+jw_texts as (select distinct l_n as a, r_n as b from sides union select distinct l_a, r_a from sides),
+jw_windows as (select a, b, greatest(length(a), length(b)) // 2 - 1 as reach from jw_texts where a <> '' and b <> '' and a <> b),
+jw_matches as (
+  select a, b, list_reduce(list_prepend([]::bigint[], list_transform(range(0, length(a)), lambda i: [i])), lambda taken, x:
+    list_concat(taken, list_transform(list_filter(range(greatest(0, x[1] - reach), least(x[1] + reach + 1, length(b))), lambda j:
+      substr(b, (j + 1)::int, 1) = substr(a, (x[1] + 1)::int, 1) and not list_contains(list_transform(taken, lambda t: t & 1048575), j))[1:1], lambda j: x[1] * 1048576 + j))) as m
+  from jw_windows),
+jw_parts as (
+  select a, b, len(m)::double as n, list_transform(m, lambda t: substr(a, ((t >> 20) + 1)::int, 1)) as x,
+    list_transform(list_sort(list_transform(m, lambda t: t & 1048575)), lambda j: substr(b, (j + 1)::int, 1)) as y,
+    case when substr(a, 1, 1) <> substr(b, 1, 1) then 0 when substr(a, 1, 2) <> substr(b, 1, 2) or least(length(a), length(b)) < 2 then 1
+      when substr(a, 1, 3) <> substr(b, 1, 3) or least(length(a), length(b)) < 3 then 2
+      when substr(a, 1, 4) <> substr(b, 1, 4) or least(length(a), length(b)) < 4 then 3 else 4 end as prefix
+  from jw_matches),
+jw_jaro as (
+  select a, b, prefix, case when n = 0 then 0.0 else
+    (n / length(a) + n / length(b) + (n - len(list_filter(range(1, len(x) + 1), lambda i: x[i] <> y[i])) / 2.0::double) / n) / 3.0 end as j, n
+  from jw_parts),
+jw as (
+  select a, b, case when n = 0 then 0.0 else j + prefix * 0.1::double * (1.0 - j) end as s from jw_jaro
+  union all select a, b, case when a = '' or b = '' then 0.0 else 1.0 end from jw_texts where a = '' or b = '' or a = b)"""
+
 _top_lists = _lists("pairs", "candidate_entity_ids")
 
 ORACLE_SQL = {
     "q_unicode_clean": f"with raw as ({DOCUMENTS_SQL}) select row_id, {clean('business_name')} as name_clean, {clean('business_address')} as addr_clean, {clean('country')} as country_clean from raw",
     "q_name_tokens": f"with raw as ({DOCUMENTS_SQL}), w as (select row_id, {words(clean('business_name'))} as ws from raw) select row_id, array_to_string(ws, ' ') as n_text, array_to_string({core('ws')}, ' ') as n_tokens from w",
-    "q_unicode_clean_texts": f"with raw as ({TEXTS_SQL}) select row_id, {clean('business_name')} as text_clean from raw",
-    "q_name_tokens_texts": f"with raw as ({TEXTS_SQL}), w as (select row_id, {words(clean('business_name'))} as ws from raw) select row_id, array_to_string(ws, ' ') as n_text, array_to_string({core('ws')}, ' ') as n_tokens from w",
     "q_name_compact": f"{_with(base())} select row_id, n_compact from normal",
     "q_postal_extract": f"{_with(base())} select row_id, a_postal from normal",
     "q_num_word": f"{DOC_TEXT} select row_id, {street('t')} as a_num_word from t",
@@ -263,7 +289,7 @@ ORACLE_SQL = {
     "q_block_scores": f"{_with(base(), MATCHES)} select q_row, cand_idx, score, reasons, country_first, first_rule, first_pos from scored",
     "q_top15_candidates": f"{_with(base(), MATCHES)} select q_row, s1_id, cand_idx, cand_id, rank, score, reasons from pairs",
     "q_reasons": f"{_with(base(), MATCHES)} select reasons, count(*) as n from top group by reasons",
-    "q_unknown_country": f"{_with(base(foreign=True), MATCHES)} select q_row, cand_idx, rank, score, reasons from top where q_row % 6 = 0",
+    "q_unknown_country": f"{_with(base(foreign=True), MATCHES)} select q_row, cand_idx, rank, score, reasons from top",
     "q_candidate_lists": f"{_with(base(), MATCHES)} {_top_lists}",
     "q_stream_candidates": f"{_with(base(), MATCHES)} {_top_lists}",
     "q_match_lists": f"{_with(base(), MATCHES, SIDES, BLEND, ACCEPTED)} {_lists('accepted', 'matched_entity_ids')}",
@@ -281,7 +307,23 @@ ORACLE_SQL = {
     "q_threshold_curve": _grid([1.0], "select round(threshold, 6) as threshold, macro_f05 from curve"),
     "q_blend_grid": _grid(WEIGHTS, "select round(weight, 6) as weight, round(threshold, 6) as threshold, macro_f05 from curve"),
     "q_pool_quota": f"{_with(base(), TRUTH)}, n as (select *, row_number() over (order by row_id) as i from raw where entity_id like 'S2-%') select row_id, entity_id from n where i <= 50 or entity_id in (select cand_id from truth)",
-    "q_truth_last_wins": "select 'S1-' || (o_custkey % 97) as s1_id, array_to_string(max_by(['S2-' || o_orderkey, 'S3-' || o_orderkey], o_orderkey), ',') as matches from orders where o_custkey % 97 < 60 group by 1",
+    "q_truth_last_wins": "select 'S1-' || o_custkey as s1_id, array_to_string(max_by(['S2-' || o_orderkey, 'S3-' || o_orderkey], o_orderkey), ',') as matches from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by o_custkey",
+    "q_countries": f"{_with(base())} select country, count(*) as n_entities, min(cand_idx) as country_first from pool group by country",
+    "q_grid_best": _grid(WEIGHTS, "select round(weight, 6) as weight, round(threshold, 6) as threshold, macro_f05 from curve order by curve.macro_f05 desc, curve.weight, curve.threshold limit 1"),
+    "q_group_split": f"""{_with(base(), MATCHES)}, keys as (select distinct s1_id from pairs),
+placed as (select s1_id, row_number() over (order by md5('{SEED}:' || s1_id), s1_id) as i, count(*) over () as n from keys)
+select s1_id, i <= ceil(n * {VALIDATION_SHARE}) as is_val from placed""",
+    "q_result_lines": RESULT_LINES + """ select 'matching' as file, (row_number() over (order by q_row))::int as place, source1_entity_id as s1, matched_entity_ids as ids from matches_of
+union all select 'candidates', (row_number() over (order by q_row))::int, source1_entity_id, candidate_entity_ids from candidates_of""",
+    "q_result_counters": RESULT_LINES + """ select 'matching' as file, count(*) as n_rows, count(*) filter (matched_entity_ids = '') as n_empty, count(*) filter (matched_entity_ids <> '') as n_filled, 0::bigint as findings from matches_of
+union all select 'candidates', count(*), count(*) filter (candidate_entity_ids = ''), count(*) filter (candidate_entity_ids <> ''), 0 from candidates_of""",
+    "q_header_checks": """
+with h as (select n_nationkey::bigint as n_nationkey, case n_nationkey % 5 when 0 then 'source1_entity_id' || chr(9) || 'matched_entity_ids'
+    when 1 then ' Source1_Entity_ID ' || chr(9) || (case when n_nationkey % 2 = 0 then 'MATCHED_ENTITY_IDS' else n_name end)
+    when 2 then 'source1_entity_id,' || n_name when 3 then '' else n_name end as header from nation)
+select n_nationkey, header, case when header = '' then 'empty_file' when not contains(header, chr(9)) and contains(header, ',') then 'comma_separated'
+  when list_transform(string_split(header, chr(9)), lambda c: lower(trim(c))) <> ['source1_entity_id', 'matched_entity_ids'] then 'unexpected_header' end as problem from h""",
+    "q_feat_jaro_winkler": _features({"name_jaro_winkler": "(select s from jw where jw.a = l_n and jw.b = r_n)", "addr_jaro_winkler": "(select s from jw where jw.a = l_a and jw.b = r_a)"}, JARO_WINKLER),
     "q_validate_report": VALIDATE,
     "q_link_totals": f"{_with(base(), MATCHES, SIDES, BLEND, ACCEPTED)}, lists as ({_lists('accepted', 'matched_entity_ids')}) select count(*) as processed, count(*) filter (matched_entity_ids <> '') as matched, count(*) filter (matched_entity_ids = '') as singletons from lists",
 }

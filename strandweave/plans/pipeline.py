@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,21 +55,31 @@ def link(queries: DataFrame, pool: DataFrame, ensemble: learn.Ensemble, config:
     return matches, id_lists(queries, pairs, "candidate_entity_ids")
 
 
-def infer(spark: SparkSession, test_dir: str, output_dir: str, models_dir: str, max_records: int | None = None, config: BlockingConfig = BlockingConfig()) -> dict:
-    """Write both result files; returns counts of entities, matched ones and singletons."""
+def infer(spark: SparkSession, test_dir: str, output_dir: str, models_dir: str, max_records: int | None = None, config: BlockingConfig = BlockingConfig(), single_files: bool = False) -> dict:
+    """Write both results, as folders of parts or as single files; returns counts of entities, matched ones
+    and singletons, and the seconds that it took."""
+    began = time.monotonic()
     ensemble = learn.Ensemble.load(models_dir)
     path = lambda kind: f"{test_dir}/{tsv.TEST_FILES[kind]}"
     first = tsv.read_entities(spark, path("source1"))
     first = tsv.head(first, max_records) if max_records is not None else first
-    queries = normalise(first, ["row_id", "entity_id"])
-    pool = normalise(candidate_pool(*(tsv.read_entities(spark, path(k)) for k in ("source2", "source3"))), ["cand_idx", "entity_id"])
+    # Blocking reads either side several times, and the lists share the pairs.
+    queries = normalise(first, ["row_id", "entity_id"]).persist()
+    pool = normalise(candidate_pool(*(tsv.read_entities(spark, path(k)) for k in ("source2", "source3"))), ["cand_idx", "entity_id"]).persist()
     matches, candidates = link(queries, pool, ensemble, config)
     matches = matches.persist()
-    tsv.write_lists(matches, f"{output_dir}/{tsv.MATCHING_FILE}", "matched_entity_ids")
-    tsv.write_lists(candidates, f"{output_dir}/{tsv.CANDIDATE_FILE}", "candidate_entity_ids")
-    row = totals(matches).first()
-    matches.unpersist()
-    return row.asDict()
+    for lists, name, column in ((matches, tsv.MATCHING_FILE, "matched_entity_ids"), (candidates, tsv.CANDIDATE_FILE, "candidate_entity_ids")):
+        target = f"{output_dir}/{name}"
+        parts = f"{output_dir}/parts-{name}" if single_files else target
+        tsv.write_lists(lists, parts, column)
+        if single_files:
+            tsv.merge_lists(spark, parts, target)
+            tsv.delete(spark, parts)
+    row = totals(matches).first().asDict()
+    for df in (matches, queries, pool):
+        df.unpersist()
+    seconds = time.monotonic() - began
+    return row | {"seconds": round(seconds, 3), "entities_per_second": round(row["processed"] / max(seconds, 1e-9), 1)}
 
 
 def totals(matches: DataFrame) -> DataFrame:

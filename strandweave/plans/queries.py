@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity, text
 from ..operators import blocking, features, learn, metrics, validate
 from ..sources import tsv
+from ..sources.scratch import cut_lineage, shared_folder
 from ..streaming.inference import link_stream
 from . import adapters, pipeline
 from .oracles import ORACLE_SQL
@@ -34,16 +34,6 @@ def q_name_tokens(spark, d):
     return t.select("row_id", "n_text", F.array_join("n_tokens", " ").alias("n_tokens"))
 
 
-def q_unicode_clean_texts(spark, d):
-    t = adapters.entities(spark, d, adapters.TEXTS_SQL)
-    return t.select("row_id", text.unicode_clean(F.col("business_name")).alias("text_clean"))
-
-
-def q_name_tokens_texts(spark, d):
-    t = text.normalise(adapters.entities(spark, d, adapters.TEXTS_SQL), ["row_id"])
-    return t.select("row_id", "n_text", F.array_join("n_tokens", " ").alias("n_tokens"))
-
-
 def _normal_parts(spark, d):
     return text.normalise(adapters.entities(spark, d), ["row_id"])
 
@@ -82,7 +72,7 @@ def q_posting_stats(spark, d):
 def _rule_query(rule: int):
     def query(spark, d):
         queries, pool = adapters.linked_sides(spark, d)
-        hits = blocking.key_matches(queries, pool, CONFIG).filter(F.col("rule") == rule)
+        hits = blocking.key_matches(queries, pool, CONFIG, rules=(rule,))
         t = hits.groupBy("q_row", "cand_idx").agg(F.count("*").alias("hits"), F.max("min_hits").alias("least"))
         least = {2: F.col("least"), 6: F.lit(CONFIG.addr_hits)}.get(rule, F.lit(1))
         return t.filter(F.col("hits") >= least).select("q_row", "cand_idx", "hits")
@@ -104,7 +94,7 @@ def q_reasons(spark, d):
 
 def q_unknown_country(spark, d):
     top = blocking.top_candidates(*adapters.linked_sides(spark, d, foreign=True))
-    return top.filter("q_row % 6 = 0").select("q_row", "cand_idx", "rank", "score", "reasons")
+    return top.select("q_row", "cand_idx", "rank", "score", "reasons")
 
 
 def q_candidate_lists(spark, d):
@@ -114,17 +104,16 @@ def q_candidate_lists(spark, d):
 
 def q_stream_candidates(spark, d):
     """The candidate lists by way of the stream: entity files in, one folder a batch out."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
-    work = f"{sc.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    work = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows = adapters.source(adapters.entities(spark, d), 1).select(*adapters.COLUMNS)
     rows.repartition(3).write.parquet(f"{work}/in")
     _, pool = adapters.linked_sides(spark, d)
     schema = "row_id long, entity_id string, business_name string, business_address string, country string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{work}/in")
     link_stream(stream, pool, f"{work}/out", f"{work}/state").awaitTermination()
-    return spark.read.parquet(f"{work}/out").select("q_row", "source1_entity_id", "candidate_entity_ids")
+    lists = cut_lineage(spark.read.parquet(f"{work}/out").select("q_row", "source1_entity_id", "candidate_entity_ids"))
+    tsv.delete(spark, work)
+    return lists
 
 
 def _feature_query(names: list[str]):
@@ -141,15 +130,14 @@ def _sequence_query(names: list[str]):
     def query(spark, d):
         queries, pool = adapters.linked_sides(spark, d)
         pairs = features.joined_pairs(blocking.candidate_pairs(queries, pool), queries, pool)
-        made = pairs.withColumn("_s", similarity.sequence_measures("l_n_text", "r_n_text", "l_a_text", "r_a_text"))
+        made = pairs.withColumn("_s", similarity.sequence_measures(*[F.col(c) for c in ("l_n_text", "r_n_text", "l_a_text", "r_a_text")]))
         return made.select("q_row", "cand_idx", *[F.round(f"_s.{n}", 6).alias(n) for n in names])
 
     return query
 
 
-COSINES = ["name_char3_cosine", "addr_char3_cosine"]
-q_feat_cosine = _sequence_query(COSINES)
-q_feat_jw_sort_set = _sequence_query([f for f in similarity.SEQUENCE_FIELDS if f not in COSINES])
+q_feat_jaro_winkler = _sequence_query([f for f in similarity.SEQUENCE_FIELDS if "jaro" in f])
+q_feat_token_ratios = _sequence_query([f for f in similarity.SEQUENCE_FIELDS if "jaro" not in f])
 
 
 def _blend(spark, d):
@@ -217,15 +205,85 @@ def q_pool_quota(spark, d):
     return tsv.pool_quota(rows, adapters.part_truth(spark, d), 50).select("row_id", "entity_id")
 
 
+def q_grid_best(spark, d):
+    """The first of the best cells."""
+    _, blend = _blend(spark, d)
+    best = metrics.best_cell(metrics.grid(blend, adapters.part_truth(spark, d)))
+    return _rounded(_rounded(best, ["weight", "threshold"]), ["macro_f05"], 9)
+
+
+def q_countries(spark, d):
+    """What is indexed of each country."""
+    _, pool = adapters.linked_sides(spark, d)
+    return pool.groupBy("country").agg(F.count("*").alias("n_entities"), F.min("cand_idx").alias("country_first"))
+
+
 def q_truth_last_wins(spark, d):
-    """Truth lines out of the orders; an entity's last line counts."""
+    """Truth lines out of the orders, for the customers of one segment; an entity's last line counts."""
     orders = spark.read.parquet(f"{d}/orders.parquet")
-    s1, order = F.concat(F.lit("S1-"), (F.col("o_custkey") % 97).cast("string")), F.col("o_orderkey").cast("string")
+    s1, order = F.concat(F.lit("S1-"), F.col("o_custkey").cast("string")), F.col("o_orderkey").cast("string")
     lines = orders.select(F.col("o_orderkey").alias("line"), F.concat(s1, F.lit("\tS2-"), order, F.lit(",S3-"), order).alias("value"))
-    sampled = spark.range(60).select(F.concat(F.lit("S1-"), F.col("id").cast("string")).alias("entity_id"))
+    customers = spark.read.parquet(f"{d}/customer.parquet").filter("c_mktsegment = 'BUILDING'")
+    sampled = customers.select(F.concat(F.lit("S1-"), F.col("c_custkey").cast("string")).alias("entity_id"))
     return tsv.truth_lists(lines, sampled).select("s1_id", F.array_join("matches", ",").alias("matches"))
 
 
+def _result_files(spark, d) -> tuple[str, str, str]:
+    """Result files of the pairs, and the required ids, written and read as a user would."""
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    queries, accepted = _accepted(spark, d)
+    pairs = blocking.candidate_pairs(*adapters.linked_sides(spark, d))
+    tsv.write_lists(blocking.id_lists(queries, accepted, "matched_entity_ids", dedupe=True), f"{folder}/{tsv.MATCHING_FILE}", "matched_entity_ids")
+    tsv.write_lists(blocking.id_lists(queries, pairs, "candidate_entity_ids"), f"{folder}/{tsv.CANDIDATE_FILE}", "candidate_entity_ids")
+    ids = queries.select(F.concat(F.col("entity_id"), F.lit("\tsome name")).alias("value"))
+    spark.createDataFrame([("entity_id\tbusiness_name",)], "value string").unionByName(ids).coalesce(1).write.text(f"{folder}/required")
+    part = next(f for f in tsv.files(spark, f"{folder}/required") if "/part-" in f)
+    return folder, f"{folder}/{tsv.MATCHING_FILE}", part
+
+
+def q_result_lines(spark, d):
+    """The lines of both written result files, in their order."""
+    folder, matching, _ = _result_files(spark, d)
+    out = None
+    for file, path in (("matching", matching), ("candidates", f"{folder}/{tsv.CANDIDATE_FILE}")):
+        header, lines = tsv.header_and_lines(spark, path)
+        rows = validate.id_rows(lines.withColumn("header", F.lit(header)))
+        place = F.row_number().over(Window.orderBy("line"))
+        rows = rows.select(F.lit(file).alias("file"), place.alias("place"), "s1", F.array_join("ids", ",").alias("ids"))
+        out = rows if out is None else out.unionByName(rows)
+    out = cut_lineage(out)
+    tsv.delete(spark, folder)
+    return out
+
+
+def q_result_counters(spark, d):
+    """Rows, empty and filled lists of both written files, and what their validation finds (nothing)."""
+    folder, matching, required = _result_files(spark, d)
+    candidates = f"{folder}/{tsv.CANDIDATE_FILE}"
+    found = validate.validate_files(spark, matching, candidates, required).count()
+    out = None
+    for file, path in (("matching", matching), ("candidates", candidates)):
+        rows = validate.counters(validate.id_rows(tsv.header_and_lines(spark, path)[1])).select(F.lit(file).alias("file"), "*", F.lit(found).cast("long").alias("findings"))
+        out = rows if out is None else out.unionByName(rows)
+    out = cut_lineage(out)
+    tsv.delete(spark, folder)
+    return out
+
+
+def q_header_checks(spark, d):
+    """Header lines of every kind, made from the nations, and the first check that each fails."""
+    key = F.col("n_nationkey")
+    header = (
+        F.when(key % 5 == 0, F.lit("source1_entity_id\tmatched_entity_ids"))
+        .when(key % 5 == 1, F.concat(F.lit(" Source1_Entity_ID \t"), F.when(key % 2 == 0, "MATCHED_ENTITY_IDS").otherwise(F.col("n_name"))))
+        .when(key % 5 == 2, F.concat(F.lit("source1_entity_id,"), F.col("n_name")))
+        .when(key % 5 == 3, "")
+        .otherwise(F.col("n_name"))
+    )
+    rows = spark.read.parquet(f"{d}/nation.parquet").select(key.cast("long").alias("n_nationkey"), header.alias("header"))
+    return rows.withColumn("problem", validate.header_problem(F.col("header"), validate.MATCHING_HEADER))
+
+
 def q_validate_report(spark, d):
     """Checks of rows with one of every fault, made from the parts."""
     key = F.col("p_partkey")
@@ -246,11 +304,10 @@ def q_validate_report(spark, d):
     return validate.row_findings(rows, required, "matching").unionByName(validate.subset_warning(rows, candidates))
 
 
-def q_group_split_disjoint(spark, d):
-    """Entities, and those with pairs on both sides of the split (none)."""
+def q_group_split(spark, d):
+    """The side of each entity with pairs."""
     split = learn.group_split(blocking.candidate_pairs(*adapters.linked_sides(spark, d)))
-    sides = split.groupBy("s1_id").agg(F.count_if("is_val").alias("v"), F.count_if(~F.col("is_val")).alias("t"))
-    return sides.agg(F.count("*").alias("entities"), F.count_if(F.col("v") > 0).alias("validation"), F.count_if((F.col("v") > 0) & (F.col("t") > 0)).alias("on_both_sides"))
+    return split.select("s1_id", "is_val").distinct()
 
 
 def _fitted(spark, d):
@@ -276,22 +333,23 @@ FEATURES = {
     "q_feat_jaccard_overlap": ["name_token_jaccard", "name_token_overlap_cnt", "name_overlap_coeff", "addr_token_jaccard", "addr_overlap_coeff"],
     "q_feat_3gram_jaccard": ["name_char3_jaccard", "addr_char3_jaccard"],
     "q_feat_quick_ratio": ["name_seq_ratio", "addr_seq_ratio"],
+    "q_feat_cosine": ["name_char3_cosine", "addr_char3_cosine"],
     "q_feat_structured": ["postal_match", "num_word_match"],
     "q_feat_reason_flags": ["blocking_score", *[f"reason_{r}" for r in blocking.RULES]],
 }
 
 QUERIES = {
-    **{f.__name__: f for f in (q_unicode_clean, q_name_tokens, q_unicode_clean_texts, q_name_tokens_texts, q_name_compact, q_postal_extract, q_num_word, q_plot, q_addr_tokens, q_posting_stats)},
+    **{f.__name__: f for f in (q_unicode_clean, q_name_tokens, q_name_compact, q_postal_extract, q_num_word, q_plot, q_addr_tokens, q_posting_stats)},
     **{f"q_rule_{name}": _rule_query(rule) for name, rule in blocking.RULES.items()},
     **{f.__name__: f for f in (q_block_scores, q_top15_candidates, q_reasons, q_unknown_country, q_candidate_lists, q_stream_candidates, q_match_lists, q_link_totals)},
     **{name: _feature_query(columns) for name, columns in FEATURES.items()},
-    "q_feat_cosine": q_feat_cosine,
-    "q_feat_jw_sort_set": q_feat_jw_sort_set,
+    "q_feat_jaro_winkler": q_feat_jaro_winkler,
+    "q_feat_token_ratios": q_feat_token_ratios,
     **{
         f.__name__: f
         for f in (
-            q_recall_ceiling, q_class_balance, q_entity_fbeta, q_macro_fbeta, q_threshold_curve, q_blend_grid,
-            q_pool_quota, q_truth_last_wins, q_validate_report, q_group_split_disjoint, q_model_scores, q_importances,
+            q_recall_ceiling, q_class_balance, q_entity_fbeta, q_macro_fbeta, q_threshold_curve, q_blend_grid, q_grid_best, q_countries, q_result_lines, q_result_counters, q_header_checks,
+            q_pool_quota, q_truth_last_wins, q_validate_report, q_group_split, q_model_scores, q_importances,
         )
     },
 }

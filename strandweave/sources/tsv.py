@@ -12,6 +12,8 @@ ENTITY_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS]
 TRAIN_FILES = {"source1": "train_source1.tsv", "source2": "train_source2.tsv", "source3": "train_source3.tsv", "truth": "train_ground_truth.tsv"}
 TEST_FILES = {"source1": "test_source1.tsv", "source2": "test_source2.tsv", "source3": "test_source3.tsv"}
 MATCHING_FILE, CANDIDATE_FILE = "matching_results.tsv", "candidate_pairs.tsv"
+#: In a folder of result lines, the file that holds the header; its name hides it from readers.
+HEADER_FILE = "_header"
 POOL_QUOTA = 150_000
 
 
@@ -25,6 +27,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def files(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def find_dataset(spark: SparkSession, roots: list[str]) -> tuple[str | None, str | None]:
     """Folders of the training and test files: the first root under which each is found."""
     found: dict[str, str] = {}
@@ -41,22 +53,56 @@ def find_dataset(spark: SparkSession, roots: list[str]) -> tuple[str | None, str
     return found.get("train"), found.get("test")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line, value``: the lines of one file in order. ``line`` grows with the place in the file; it has
-    gaps, since no pass over the data counts what lies before a split."""
+    """``line, value``: the lines of one file, or of all files of a folder, in order. ``line`` grows with
+    the place in the file (in a folder: with the file's name, then the place); it has gaps, since no pass
+    over the data counts what lies before a split."""
     # Splits of a file come in order, so the id of a row grows along it.
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), "value")
+    at = F.monotonically_increasing_id()
+    if is_folder(spark, path):
+        at = F.struct(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), at.alias("at"))
+    return spark.read.text(path).select(at.alias("line"), "value")
 
 
 def header_and_lines(spark: SparkSession, path: str) -> tuple[str | None, DataFrame] | None:
-    """First line and the lines below it; None if there is no such file."""
+    """Header and the lines below it; None if there is no such file. The header of a folder lies in a file
+    of its own, which readers pass over."""
     if not exists(spark, path):
         return None
     lines = numbered_lines(spark, path)
+    if exists(spark, f"{path}/{HEADER_FILE}"):
+        return _read_small(spark, f"{path}/{HEADER_FILE}").rstrip("\n"), lines
     first = lines.orderBy("line").limit(1).collect()
     if not first:
         return None, lines
-    return first[0]["value"], lines.filter(F.col("line") > first[0]["line"])
+    header = first[0]["value"]
+    if is_folder(spark, path):
+        # Parts of other writers may each begin with it.
+        return header, lines.filter(F.col("value") != header)
+    return header, lines.filter(F.col("line") > first[0]["line"])
+
+
+def _read_small(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
 
 
 def dense_numbers(df: DataFrame, order: str, name: str = "row_id") -> DataFrame:
@@ -69,11 +115,14 @@ def dense_numbers(df: DataFrame, order: str, name: str = "row_id") -> DataFrame:
     return ranged.withColumn("_i", place).join(starts, "_p").withColumn(name, F.col("_i") + F.col("_s")).drop("_p", "_i", "_s")
 
 
-def read_entities(spark: SparkSession, path: str, quoting: bool = True) -> DataFrame:
+def read_entities(spark: SparkSession, path: str, quoting: bool = True, multi_line: bool = False) -> DataFrame:
     """All-string entity rows; a missing field is ''. With ``quoting`` a double quote opens a quoted
-    field, else fields are the text between tabs. ``row_id`` grows in file order."""
+    field, else fields are the text between tabs. ``row_id`` grows in file order.
+
+    A large file is read by many tasks. Only fields that hold line breaks need ``multi_line``, which reads
+    a file in one task."""
     if quoting:
-        rows = spark.read.schema(ENTITY_SCHEMA).option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+        rows = spark.read.schema(ENTITY_SCHEMA).option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
         rows = rows.select(F.monotonically_increasing_id().alias("row_id"), *COLUMNS)
     else:
         rows = read_raw_entities(spark, path)
@@ -130,6 +179,26 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_lists(lists: DataFrame, path: str, column: str) -> None:
-    """``source1_entity_id`` and the list column as tab-separated text with a header, in row order."""
-    ordered = lists.orderBy("q_row").select("source1_entity_id", column)
-    ordered.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").csv(path)
+    """``source1_entity_id`` and the list column as tab-separated lines in row order: a folder of parts
+    without headers, in the order of their names, and the header in a file of its own."""
+    ordered = lists.orderBy("q_row").select(F.concat_ws("\t", F.coalesce("source1_entity_id", F.lit("")), F.coalesce(column, F.lit(""))).alias("value"))
+    ordered.write.mode("overwrite").text(path)
+    _write_small(lists.sparkSession, f"{path}/{HEADER_FILE}", f"source1_entity_id\t{column}\n")
+
+
+def merge_lists(spark: SparkSession, folder: str, file: str) -> None:
+    """One file out of a folder of :func:`write_lists`: the header, then the parts in order. The bytes
+    stream through the driver; nothing of their number is held."""
+    fs, _ = _fs(spark, folder)
+    out_fs, target = _fs(spark, file)
+    parts = [f for f in files(spark, folder) if "/part-" in f]
+    out = out_fs.create(target, True)
+    try:
+        for path in [f"{folder}/{HEADER_FILE}", *parts]:
+            stream = fs.open(_fs(spark, path)[1])
+            try:
+                stream.transferTo(out)
+            finally:
+                stream.close()
+    finally:
+        out.close()

@@ -18,12 +18,16 @@ def test_against_sql(spark, small, name):
 def test_rows(spark, small, name):
     rows = QUERIES[name](spark, small).collect()
     assert rows
-    if name == "q_group_split_disjoint":
-        assert rows[0].on_both_sides == 0 and 0 < rows[0].validation < rows[0].entities
-    if name == "q_feat_jw_sort_set":
+    if name == "q_feat_token_ratios":
         assert all(0 <= r[c] <= 1 for r in rows for c in r.asDict() if c not in ("q_row", "cand_idx"))
 
 
+def test_every_rule_has_rows(spark, small):
+    assert QUERIES["q_rule_plot_num"](spark, small).count() > 0
+    assert {r.rule for r in QUERIES["q_posting_stats"](spark, small).collect()} == {1, 2, 3, 4, 5, 6}
+    assert any("plot_num" in r.reasons for r in QUERIES["q_reasons"](spark, small).collect())
+
+
 def test_entry(spark):
     frame = __spark_entry__.entry(spark)
     assert frame.count() > 0 and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
@@ -41,7 +45,7 @@ def test_models_are_fitted_with_the_operators_defaults(spark, small, monkeypatch
     assert QUERIES[name](spark, small).count() > 0 and given == [{}]
 
 
-@pytest.mark.parametrize("name, column", [("q_unicode_clean_texts", "text_clean"), ("q_name_tokens_texts", "n_text")])
+@pytest.mark.parametrize("name, column", [("q_unicode_clean", "name_clean"), ("q_name_tokens", "n_text")])
 def test_whole_texts_are_read(spark, small, name, column):
     words = {r.doc_id: len((r.text or "").split()) for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = {r.row_id: len(r[column].split()) for r in QUERIES[name](spark, small).collect()}
