@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,33 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..sources.scratch import cut_lineage, shared_folder
+
 #: Characters that part words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Texts handed to one call of a text function; bounds a worker's memory.
 SLICE_ROWS = 128
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and go on from there.
-
-    The folder is the one named by ``spark.checkpoint.dir``; only where none is set (tests on one
-    machine) a temporary one is made.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandweave-")
-        )
-    return df.checkpoint(eager=True)
+#: Rows and bytes of a narrow table that may be broadcast.
+SMALL_ROWS, SMALL_BYTES = 50_000, 16 << 20
 
 
-#: Rows of a narrow table that may be broadcast.
-SMALL_ROWS = 50_000
+def small_or_shuffled(df: DataFrame) -> DataFrame:
+    """``df``, a narrow table behind :func:`cut_lineage`, with a broadcast hint if its rows and bytes,
+    both counted, are few."""
+    texts = [F.coalesce(F.length(F.col(f.name).cast("binary")), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    wide = sum(texts, F.lit(0)) + 16 * len(df.columns)
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(wide), F.lit(0))).first()
+    return F.broadcast(df) if rows <= SMALL_ROWS and size <= SMALL_BYTES else df
 
 
-def small_or_shuffled(df: DataFrame) -> DataFrame:
-    """``df``, a narrow table behind :func:`cut_lineage`, with a broadcast hint if its rows, counted, are few."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+__all__ = ["Many", "crc_fold", "cut_lineage", "map_texts", "read_table", "shared_folder", "small_or_shuffled", "words"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,8 +12,10 @@ Scale: equal fingerprints are one node from the start (copies never meet as pair
 of one fingerprint are dropped before any data is moved to Python. A long posting list is cut into
 blocks of at most ``BLOCK`` fingerprints in expectation and every pair of blocks is a tile of its
 own, so that no task gets an unbounded list; a tile returns a spanning forest of its links (fewer
-links than nodes) instead of all pairs. Components come from alternating large-star and small-star
-rounds, checkpointed each round.
+links than nodes) instead of all pairs. A list of n different fingerprints makes about n^2 / (2 * 512)
+tile rows (5,000 make 45,000); such a list needs n different texts that agree in three bytes. Components come from alternating large-star and small-star rounds,
+checkpointed each round, until a round changes no link. Fingerprints and components that hold more than
+one row of ``HOT_SHARE`` are joined by a broadcast of those few, so no key fills one task.
 
 Defined cases: null or blank text has fingerprint zero and links like any other; rows with a null id
 take part, a component's id is the smallest non-null doc_id in it; repeated rows come back repeated;
@@ -39,6 +41,8 @@ from .common import cut_lineage, map_texts
 BLOCK = 512
 #: Posting lists up to this long are compared by shifted rows, many lists at once.
 SHORT = 12
+#: A key is hot if it holds more than this part of all rows: there are fewer than 64 such keys.
+HOT_SHARE = 64
 HASH_SEED = 42
 _LOW7 = np.uint64(0x7F7F7F7F7F7F7F7F)
 
@@ -187,25 +191,18 @@ def links_of(nodes: DataFrame, max_bits: int = 3, block: int = BLOCK) -> DataFra
     return spread.mapInArrow(_tile_links(max_bits), "a long, b long")
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of a link table: ``node``, ``root`` (the smallest node reachable).
 
     Alternating large-star and small-star; each round is two grouped minima and two joins, and
     halves the depth at least, so that even long chains end after a number of rounds that is
-    logarithmic in their length.
+    logarithmic in their length. It ends when a round leaves all links as they were.
     """
     edges = cut_lineage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     )
-
-    def state(e: DataFrame):
-        r = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
-        return tuple(r)
-
-    before = state(edges)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
+    n = edges.count()
+    while n:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -217,16 +214,24 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
             .filter("u <> v")
             .distinct()
         )
+        before, n_before = edges, n
         edges = cut_lineage(small)
-        after = state(edges)
-        if after == before:
+        n = edges.count()
+        # Both are sets of links: of equal size and without a new one, they are the same.
+        if n == n_before and edges.join(before, ["u", "v"], "left_anti").isEmpty():
             break
-        before = after
-    else:
-        raise RuntimeError(f"components not stable after {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``keyed`` (unique in ``key``; ``n``: how many of the ``total`` rows have
+    it). The few hot keys are broadcast, the others joined by a shuffle."""
+    is_hot = F.col("n") * HOT_SHARE > total
+    hot, others = F.broadcast(keyed.filter(is_hot).drop("n")), keyed.filter(~is_hot).drop("n")
+    rest = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(others, key))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -236,15 +241,18 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: ``id_col``, ``fp`` (long), ``component_id``."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, width))
-    nodes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("first_id")))
+    nodes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n")))
     parts = components(links_of(nodes.select("fp"), max_bits))
     # A node without links is not in parts: it is its own root.
     rooted = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first_id", F.col("n").alias("rows"), F.coalesce("root", "fp").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(id_col, "fp", "component_id")
+    rooted = cut_lineage(rooted)
+    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"), F.sum("rows").alias("in_all"))
+    ids = cut_lineage(ids)
+    n_nodes, n_rows = ids.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("in_all"), F.lit(0))).first()
+    named = join_counted(rooted, ids.drop("in_all"), "root", n_nodes).select("fp", "component_id", F.col("rows").alias("n"))
+    return join_counted(fps, cut_lineage(named), "fp", n_rows).select(id_col, "fp", "component_id")
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -2,33 +2,43 @@
 
 A rule is a regular expression with the literal tokens (runs of letters and digits, set off on both
 sides) that every match must contain. The tokens of all rules are counted over all URLs in one
-aggregate, and each rule is filed under the token that the fewest URLs hold. The index is a constant
-array of buckets by token hash, so that a URL's token fetches its candidate rules in constant time,
-whatever the number of rules; only those rules run their expressions.
+aggregate, and each rule is filed under the token that the fewest URLs hold. A URL's tokens fetch its
+candidate rules; only those run their expressions. Rules come as a table of any size (see
+:func:`rules_frame` and :func:`read_rules`).
+
+An index whose rows and bytes, both counted, are few is one constant: an array of buckets by token hash,
+in which a token finds its rules in constant time, and no row is shuffled. A larger one is joined: the
+URLs' distinct tokens meet the filed rules, and what is left after the expressions is grouped by URL.
 
 Site rules (host, path) fit a host and its subdomains where the path begins with theirs; the longest
 wins. They are pattern rules as well, in front of the general ones. A URL that no site rule fits is
 blocked if a general rule matches, and allowed otherwise.
 
-Scale: two passes over the url column (token counts, then verdicts), no shuffle of rows, no join, no
-Python. What comes to the driver is one count per distinct rule token, at most ``MAX_RULES`` rules'
-worth; the index is of the same size.
+Scale: two passes over the url column (token counts, then verdicts), no Python. With the constant index
+there is no join of the pages and no shuffle but of the pre-aggregated token counts; with the joined one
+only (row number, token) pairs and hits are shuffled, and Spark splits hot tokens.
 
 Defined cases: null or text without ``://``: host and path empty, no rule, general rules still look
-at the text (null: allowed); repeated rows come back repeated; an empty table gives an empty result;
-further columns are ignored.
+at the text (null: allowed); very long URLs are tokenized and matched whole; ties among site rules of one
+length go to the label that sorts last; repeated rows come back repeated; an empty table gives an empty
+result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import SMALL_BYTES, SMALL_ROWS, cut_lineage, small_or_shuffled
+
 ALLOW, BLOCK = "allow", "block"
-MAX_RULES = 100_000
+RULES = "tokens array<string>, pattern string, verdict string, label string, site boolean"
+#: A filed rule, as it lies in the index.
+ENTRY = "struct<token:string,pattern:string,verdict:string,label:string,site:boolean>"
 
 # The site rules (verdict, host, path).
 SITE_RULES = (
@@ -105,71 +115,84 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.split(_lower(F.coalesce(url, F.lit(""))), "[^a-z0-9]+"))
 
 
-def token_counts(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> dict[str, int]:
-    """In how many URLs each rule token occurs."""
-    names = sorted({t for r in rules for t in r.tokens})
-    tokens = F.array_intersect(tokens_of(F.col(url_col)), F.array(*map(F.lit, names)))
-    rows = pages.select(F.explode(tokens).alias("t")).groupBy("t").count().collect()
-    return dict.fromkeys(names, 0) | {r["t"]: r["count"] for r in rows}
+def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """The rules as a table."""
+    return spark.createDataFrame([(list(r.tokens), r.pattern, r.verdict, r.label, r.site) for r in rules], RULES)
 
 
-def index_of(rules: list[Rule], counts: dict[str, int]) -> Column:
-    """Constant array of buckets; a bucket's entries are (token, pattern, verdict, label, site)."""
-    size = 1
-    while size < 2 * len(rules):
-        size *= 2
-    filed: dict[str, list[Rule]] = {}
-    for r in rules:
-        filed.setdefault(min(r.tokens, key=lambda t: (counts[t], -len(t), t)), []).append(r)
-    entry = "array<struct<token:string,pattern:string,verdict:string,label:string,site:boolean>>"
-    # Spark's own hash decides the bucket here as well as for a URL's token.
-    names = sorted(filed)
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """General rules of a text file: lines of verdict, tokens (comma-joined) and pattern, tab-separated."""
+    f = F.split("value", "\t", 3)
+    rows = spark.read.text(path).filter(F.size(f) == 3)
+    part = lambda i: F.get(f, F.lit(i))
+    tokens = F.filter(F.split(_lower(part(1)), ","), lambda t: t != "")
+    return rows.select(tokens.alias("tokens"), part(2).alias("pattern"), F.trim(part(0)).alias("verdict"), part(2).alias("label"), F.lit(False).alias("site"))
+
+
+def file_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
+    """``token, pattern, verdict, label, site``: each rule under that of its tokens which the fewest URLs
+    hold (then the longest, then the first)."""
+    rules = rules.withColumn("n", F.monotonically_increasing_id())
+    needed = cut_lineage(rules.select(F.explode("tokens").alias("token")).distinct())
+    tokens = pages.select(F.explode(tokens_of(F.col(url_col))).alias("token"))
+    counts = tokens.join(small_or_shuffled(needed), "token", "left_semi").groupBy("token").agg(F.count("*").alias("urls"))
+    of = rules.select("n", F.explode("tokens").alias("token")).join(counts, "token", "left")
+    order = F.struct(F.coalesce("urls", F.lit(0)).alias("urls"), -F.length("token"), F.col("token"))
+    rarest = of.groupBy("n").agg(F.min_by("token", order).alias("token"))
+    return rules.join(rarest, "n").select("token", "pattern", "verdict", "label", "site")
+
+
+def _matches(e: Column, site: Column, low: Column) -> Column:
+    return F.rlike(F.when(e["site"], site).otherwise(low), e["pattern"])
+
+
+def _by_constant(rows: DataFrame, filed: DataFrame) -> DataFrame:
+    """``rows`` with ``_hits``: the rules that match, out of one constant array of buckets."""
+    size = 1 << (2 * filed.count()).bit_length()
     slot = lambda t: F.pmod(F.xxhash64(t), F.lit(size)).cast("int")
-    entries = lambda t: [
-        F.struct(F.lit(t).alias("token"), F.lit(r.pattern).alias("pattern"), F.lit(r.verdict).alias("verdict"), F.lit(r.label).alias("label"), F.lit(r.site).alias("site"))
-        for r in filed[t]
-    ]
-    every = F.array(*[F.struct(slot(F.lit(t)).alias("slot"), F.array(*entries(t)).cast(entry).alias("rules")) for t in names])
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.flatten(F.transform(F.filter(every, lambda e: e["slot"] == i), lambda e: e["rules"])),
-    )
-
-
-def judge(pages: DataFrame, keep: list[str], url_col: str = "url", rules: list[Rule] | None = None) -> DataFrame:
-    """The columns in ``keep`` of every row, host, path, rule, verdict."""
-    rules = default_rules() if rules is None else rules
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    if any(not r.tokens for r in rules):
+    # Spark's own hash decides the bucket here as well as for a URL's token.
+    buckets: list[list[dict]] = [[] for _ in range(size)]
+    for r in filed.withColumn("slot", slot(F.col("token"))).collect():
+        e = r.asDict()
+        buckets[e.pop("slot")].append(e)
+    index = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{ENTRY}>>")
+    fetched = F.flatten(F.transform("_tokens", lambda t: F.filter(F.element_at(index, slot(t) + 1), lambda e: e["token"] == t)))
+    return rows.withColumn("_hits", F.filter(fetched, lambda e: _matches(e, F.col("_site"), F.col("_low"))))
+
+
+def _by_join(rows: DataFrame, filed: DataFrame) -> DataFrame:
+    """``rows`` with ``_hits``, by a join of the URLs' tokens with the filed rules."""
+    rows = cut_lineage(rows.withColumn("_n", F.monotonically_increasing_id()))
+    pairs = rows.select("_n", "_site", "_low", F.explode("_tokens").alias("token"))
+    hits = pairs.join(filed, "token").filter(_matches({c: F.col(c) for c in ("site", "pattern")}, F.col("_site"), F.col("_low")))
+    entry = F.struct("token", "pattern", "verdict", "label", "site")
+    # Of a URL's hits all are kept that can decide: the longest site rule, and whether a general one blocks.
+    general = ~F.col("site") & (F.col("verdict") == BLOCK)
+    best = F.max_by(F.when(F.col("site"), entry), F.when(F.col("site"), F.struct(F.length("label"), "label")))
+    found = hits.groupBy("_n").agg(F.array_compact(F.array(best, F.max_by(F.when(general, entry), general))).alias("_hits"))
+    joined = rows.join(found, "_n", "left")
+    return joined.withColumn("_hits", F.coalesce("_hits", F.array().cast(f"array<{ENTRY}>")))
+
+
+def judge(pages: DataFrame, keep: list[str], url_col: str = "url", rules: DataFrame | None = None, most_rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The columns in ``keep`` of every row, host, path, rule, verdict. An index of more than ``most_rows``
+    or ``most_bytes`` is joined."""
+    rules = rules_frame(pages.sparkSession, default_rules()) if rules is None else rules
+    if not rules.filter(F.coalesce(F.size("tokens"), F.lit(0)) <= 0).isEmpty():
         raise ValueError("a rule without a literal token can't be indexed")
+    filed = cut_lineage(file_rules(pages, rules, url_col))
+    texts = [F.coalesce(F.length(F.col(c).cast("binary")), F.lit(0)) for c in ("token", "pattern", "verdict", "label")]
+    n, size = filed.agg(F.count("*"), F.coalesce(F.sum(sum(texts[1:], texts[0])), F.lit(0))).first()
     url = F.col("_url")
-    rows = pages.select(*keep, F.col(url_col).alias("_url"))
+    rows = pages.select(F.struct(*keep).alias("_kept"), F.col(url_col).alias("_url"))
     rows = rows.withColumns({"host": host_of(url), "path": path_of(url)})
-    if not rules:
-        return rows.select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(ALLOW).alias("verdict"))
-    # One row: the index is folded once, by the JVM, and comes back as a literal.
-    buckets = pages.sparkSession.range(1).select(index_of(rules, token_counts(pages, rules, url_col)).alias("x")).first()["x"]
-    index = F.array(*[F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in e.asDict().items()]) for e in b]) if b else _no_entries() for b in buckets])
-    site, low = F.concat("host", "path"), _lower(F.coalesce(url, F.lit("")))
-    rows = rows.withColumns({"_tokens": tokens_of(url), "_site": site, "_low": low})
-    fetched = F.flatten(
-        F.transform(
-            F.col("_tokens"),
-            lambda t: F.filter(F.element_at(index, (F.pmod(F.xxhash64(t), F.lit(len(buckets))) + 1).cast("int")), lambda e: e["token"] == t),
-        )
-    )
-    hits = F.filter(fetched, lambda e: F.rlike(F.when(e["site"], F.col("_site")).otherwise(F.col("_low")), e["pattern"]))
-    rows = rows.withColumn("_hits", hits)
+    rows = rows.withColumns({"_tokens": tokens_of(url), "_site": F.concat("host", "path"), "_low": _lower(F.coalesce(url, F.lit("")))})
+    rows = (_by_constant if n <= most_rows and size <= most_bytes else _by_join)(rows, filed)
     longest = F.array_max(F.transform(F.filter("_hits", lambda e: e["site"]), lambda e: F.struct(F.length(e["label"]), e["label"].alias("label"), e["verdict"].alias("verdict"))))
     general = F.exists("_hits", lambda e: ~e["site"] & (e["verdict"] == BLOCK))
     rows = rows.withColumn("_best", longest)
     verdict = F.coalesce(F.col("_best.verdict"), F.when(general, BLOCK).otherwise(ALLOW))
-    return rows.select(*keep, "host", "path", F.col("_best.label").alias("rule"), verdict.alias("verdict"))
-
-
-def _no_entries() -> Column:
-    return F.expr("cast(array() as array<struct<token:string,pattern:string,verdict:string,label:string,site:boolean>>)")
+    return rows.select("_kept.*", "host", "path", F.col("_best.label").alias("rule"), verdict.alias("verdict"))
 
 
 def _oracle_sql() -> str:
@@ -178,10 +201,11 @@ def _oracle_sql() -> str:
     rule = " ".join(f"when {fits(h, p)} then '{h}{p}'" for _, h, p in ranked)
     verdict = " ".join(f"when rule = '{h}{p}' then '{v}'" for v, h, p in ranked)
     general = " or ".join(f"regexp_matches(low, '{p}')" for _, p in GENERAL_RULES)
+    lower = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
 with cut as (
-  select page_id, lower(coalesce(url, '')) as low,
-    lower(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)) as host,
+  select page_id, {lower("coalesce(url, '')")} as low,
+    {lower("regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)")} as host,
     regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path from pages),
 ruled as (select *, case {rule} end as rule from cut)
 select page_id, host, path, rule, case {verdict} when {general} then 'block' else 'allow' end as verdict

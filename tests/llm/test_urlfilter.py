@@ -31,10 +31,12 @@ def test_query(spark, small):
 
 def test_odd_urls(spark):
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(URLS + URLS)], "page_id long, url string, host string, verdict string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(pages, ["page_id"]).collect()}
-    assert got == {i: brute(u) for i, u in enumerate(URLS + URLS)}
+    # By the constant index, and by the join.
+    for how in ({}, {"most_rows": 3}):
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(pages, ["page_id"], **how).collect()}
+        assert got == {i: brute(u) for i, u in enumerate(URLS + URLS)}
     assert urlfilter.judge(pages.limit(0), ["page_id"]).count() == 0
-    assert {r.verdict for r in urlfilter.judge(pages, ["page_id"], rules=[]).collect()} == {"allow"}
+    assert {r.verdict for r in urlfilter.judge(pages, ["page_id"], rules=urlfilter.rules_frame(spark, [])).collect()} == {"allow"}
 
 
 def test_plan_is_native_and_has_no_exchange(spark, small):
@@ -42,10 +44,22 @@ def test_plan_is_native_and_has_no_exchange(spark, small):
     assert not re.search("Python|Arrow|Exchange|Join", plan)
 
 
-def test_rules_are_filed_under_their_rarest_token():
-    rules = urlfilter.default_rules()
-    counts = {t: 100 for r in rules for t in r.tokens} | {"login": 1}
-    column = urlfilter.index_of(rules, counts)
-    assert column is not None
+def test_rules_are_filed_under_their_rarest_token(spark):
+    rules = [urlfilter.Rule(("common", "rare"), "x", "block", "a", False), urlfilter.Rule(("common", "never"), "x", "block", "b", False), urlfilter.Rule(("rare", "alike"), "x", "block", "c", False)]
+    pages = spark.createDataFrame([(f"http://common.net/{'rare' if i == 0 else 'x'}/alike" if i < 5 else "http://common.net/",) for i in range(9)], "url string")
+    filed = {r.label: r.token for r in urlfilter.file_rules(pages, urlfilter.rules_frame(spark, rules)).collect()}
+    assert filed == {"a": "rare", "b": "never", "c": "rare"}
     with pytest.raises(ValueError, match="literal"):
-        urlfilter.judge(None, [], rules=[urlfilter.Rule((), "x", "block", "x", False)])
+        urlfilter.judge(pages, ["url"], rules=urlfilter.rules_frame(spark, [urlfilter.Rule((), "x", "block", "x", False)]))
+
+
+def test_ten_thousand_rules(spark, tmp_path):
+    words = [f"w{i:05d}" for i in range(10_000)]
+    (tmp_path / "rules.txt").write_text("".join(f"block\tNet,{w}\t[./]{w}([/?]|$)\n" for w in words) + "no rule\n")
+    rules = urlfilter.read_rules(spark, str(tmp_path / "rules.txt")).unionByName(urlfilter.rules_frame(spark, [urlfilter.site_rule(*r) for r in urlfilter.SITE_RULES]))
+    assert rules.count() == 10_005
+    urls = [f"http://a.net/{words[i * 37 % 10_000]}{'/x' if i % 2 else 'x'}" for i in range(400)] + ["http://b.org/w00001/", "http://w00007.com/de/", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    want = {i: "block" if i < 400 and i % 2 else "allow" for i in range(403)} | {401: "block"}
+    for how in ({}, {"most_bytes": 1000}):
+        assert {r.page_id: r.verdict for r in urlfilter.judge(pages, ["page_id"], rules=rules, **how).collect()} == want
