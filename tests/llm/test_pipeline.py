@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -79,3 +80,22 @@ def test_rows_without_ids_are_told_apart(spark, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     left = corpus_pipeline.near_dedup(spark, docs, small).collect()
     assert sorted(r.text for r in left) == sorted(texts)
+    # Of rows that agree in id and text always the same one stays.
+    rows = [(5, texts[0], lang, source, 1) for lang, source in (("fr", "a"), ("en", "z"), ("en", "b"), ("es", None))]
+    for k in range(3):
+        docs = spark.createDataFrame(rows[k:] + rows[:k], docs.schema).repartition(k + 1)
+        assert [(r.lang, r.source) for r in corpus_pipeline.near_dedup(spark, docs, small).collect()] == [("en", "b")]
+
+
+def test_predictions_take_effect(spark, small):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    wrong = docs.withColumn("lang", F.when(F.col("doc_id") % 300 == 7, F.when(F.col("lang") == "de", "en").otherwise("de")).when(F.col("doc_id") % 300 == 8, None).otherwise(F.col("lang")))
+    truth = {r.doc_id: r.lang for r in docs.filter("doc_id % 300 in (7, 8)").collect()}
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, wrong, small).collect() if r.doc_id in truth}
+    assert len(got) == len(truth) > 50 and sum(got[i] == truth[i] for i in truth) >= 0.9 * len(truth)
+
+
+def test_copies_are_told_apart(spark, small):
+    docs = spark.createDataFrame([(7, "some words here", "en", "s", 15)] * 3 + [(8, "w " * 5000, "en", "s", 10_000)] * 2, "doc_id long, text string, lang string, source string, n_chars long")
+    rows = corpus_pipeline.pack_sequences(spark, docs, small).collect()
+    assert len(rows) == 7 and len({(r.copy, r.piece) for r in rows}) == 7 and len({r.copy for r in rows}) == 5
