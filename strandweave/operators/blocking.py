@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut_lineage
+
 #: Rule numbers by reason, in the order in which the rules are applied.
 RULES = {"compact_name": 1, "token_overlap": 2, "num_street": 3, "plot_num": 4, "postal": 5, "addr_tokens": 6}
 #: Points of a rule; of 2 and 6 for each hit.
@@ -91,11 +93,14 @@ def query_keys(queries: DataFrame, rules=tuple(POINTS)) -> DataFrame:
 
 def key_matches(queries: DataFrame, pool: DataFrame, config: BlockingConfig, rules=JOINED) -> DataFrame:
     """``q_row, cand_idx, rule, pos, min_hits, country_first, same_postal``; one row for each hit of a key."""
-    over = _over_cap(postings(pool), config)
+    # Written once: the postings are counted for the caps, and joined by two routes.
+    every = cut_lineage(pool.select("country", "cand_idx", "a_postal", F.inline(_keys())).drop("pos"))
+    over = cut_lineage(_over_cap(every, config))
     # A code over its cap is no code.
     hot = over.filter(F.col("rule") == POSTAL).select("country", F.col("key").alias("a_postal"), F.lit(True).alias("_hot"))
-    marked = pool.join(hot, ["country", "a_postal"], "left").withColumn("_code", F.when(F.col("_hot").isNull() & (F.col("a_postal") != ""), F.col("a_postal")))
-    posts = marked.select("country", "cand_idx", "_code", F.inline(_keys(rules))).drop("pos").join(over, ["country", "rule", "key"], "left_anti")
+    posts = every.filter(F.col("rule").isin(*rules)).join(over, ["country", "rule", "key"], "left_anti")
+    posts = posts.join(hot, ["country", "a_postal"], "left")
+    posts = posts.withColumn("_code", F.when(F.col("_hot").isNull() & (F.col("a_postal") != ""), F.col("a_postal"))).drop("a_postal", "_hot")
     countries = pool.groupBy("country").agg(F.min("cand_idx").alias("country_first"))
     keys = query_keys(queries, rules)
     known = keys.join(countries, "country").join(posts, ["country", "rule", "key"])
