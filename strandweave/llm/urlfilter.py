@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import SMALL_BYTES, SMALL_ROWS, cut_lineage, small_or_shuffled
 
 ALLOW, BLOCK = "allow", "block"
-RULES = "tokens array<string>, pattern string, verdict string, label string, site boolean"
+RULES = "array<struct<tokens:array<string>,pattern:string,verdict:string,label:string,site:boolean>>"
 #: A filed rule, as it lies in the index.
 ENTRY = "struct<token:string,pattern:string,verdict:string,label:string,site:boolean>"
 
@@ -117,7 +117,8 @@ def tokens_of(url: Column) -> Column:
 
 def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     """The rules as a table."""
-    return spark.createDataFrame([(list(r.tokens), r.pattern, r.verdict, r.label, r.site) for r in rules], RULES)
+    rows = json.dumps([asdict(r) for r in rules])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), RULES)))
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
