@@ -85,6 +85,8 @@ def map_texts(
                 ]
                 left = [c.cast(f.type) for c, f in zip(left, arrow, strict=False)]
                 yield pa.RecordBatch.from_arrays([*left, *right], schema=arrow)
+            # A worker lives on after its task: what a large batch took goes back to the machine.
+            pa.default_memory_pool().release_unused()
 
     return df.select(*cols).mapInArrow(run, schema)
 

@@ -28,7 +28,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Strings that a table of a worker holds at most.
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 300_000
 
 #: White space, printable ASCII and the Latin blocks, but for the dotted capital I, whose lower case has two code points.
 _PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa0-įı-ɏ]*")
@@ -43,7 +43,7 @@ _ODD = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-įı-ɏ]+")
 #: Pre-tokens longer than this many bytes are merged by the library.
 LONG = 64
 #: Characters whose new pre-tokens are merged at once.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 
 _CACHE: dict[tuple[str, str], object] = {}
 
