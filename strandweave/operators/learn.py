@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import asdict, dataclass
+from itertools import accumulate
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -18,23 +19,34 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut_lineage
 from . import metrics
 from .features import FEATURE_NAMES
 
 VALIDATION_SHARE, SEED = 0.25, 42
+#: Hexadecimal digits by which the hashes of a split are counted.
+PREFIX_DIGITS = 4
 GBT_FOLDER, FOREST_FOLDER, METADATA_FOLDER = "gbt_model", "forest_model", "metadata"
 
 
 def group_split(rows: DataFrame, key: str = "s1_id", share: float = VALIDATION_SHARE, seed: int = SEED) -> DataFrame:
     """``rows`` with ``is_val``: ``share`` of the keys, rounded up, each wholly on one side.
 
-    Those with the smallest hashes are held out: the same ones on every run. The keys are sorted by all
-    tasks, and what is joined back is one row a key."""
+    Those with the smallest hashes are held out: the same ones on every run. Keys are counted by the first
+    digits of their hashes, and only those of one such group are sorted to find the last one held out;
+    ``rows`` are compared with it and not joined."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    keys = rows.select(key).filter(F.col(key).isNotNull()).distinct()
-    n = math.ceil(keys.count() * share)
-    held = keys.orderBy(h, key).limit(n).select(F.col(key).alias("_k"), F.lit(True).alias("_v"))
-    return rows.join(held, F.col(key) == F.col("_k"), "left").withColumn("is_val", F.coalesce("_v", F.lit(False))).drop("_k", "_v")
+    # Written once: counted, then looked up.
+    keys = cut_lineage(rows.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct())
+    hashed = keys.select("_k", F.md5(F.concat(F.lit(f"{seed}:"), F.col("_k").cast("string")).cast("binary")).alias("_h"))
+    counts = sorted(hashed.groupBy(F.substring("_h", 1, PREFIX_DIGITS).alias("p")).agg(F.count("*").alias("n")).collect())
+    n = math.ceil(sum(c for _, c in counts) * share)
+    if not n:
+        return rows.withColumn("is_val", F.lit(False))
+    prefix, before = next((p, end - c) for (p, c), end in zip(counts, accumulate(c for _, c in counts), strict=True) if end >= n)
+    last = hashed.filter(F.startswith("_h", F.lit(prefix))).orderBy("_h", "_k").limit(n - before).agg(F.max(F.struct("_h", "_k")).alias("m")).first()["m"]
+    held = (h < last["_h"]) | ((h == last["_h"]) & (F.col(key) <= F.lit(last["_k"])))
+    return rows.withColumn("is_val", F.coalesce(held, F.lit(False)))
 
 
 @dataclass

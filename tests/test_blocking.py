@@ -99,3 +99,27 @@ def test_empty_side(spark, side):
     one = [(["abc"], "", "", "", [], "us")]
     queries, pool = frames(spark, [] if side == "queries" else one, [] if side == "pool" else one)
     assert top_candidates(queries, pool).count() == 0
+
+
+def most_rows(frame):
+    """Collects ``frame``; the most rows that a node of its plan gave out."""
+    frame.collect()
+    most, nodes = 0, [frame._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        found = node.metrics().get("numOutputRows")
+        most = max(most, found.get().value() if found.isDefined() else 0)
+        inner = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind.endswith("QueryStageExec") else None
+        children = node.children()
+        nodes += [inner] if inner is not None else [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_hot_keys_without_a_cap_are_not_joined(spark):
+    """200 queries and 200 candidates share a street and a plot: 40,000 pairs, of which 400 are wanted."""
+    many = [(["abc"], "1_main", "1-2", "", [], "us")] * 200
+    queries, pool = frames(spark, many, many)
+    top = top_candidates(queries, pool, BlockingConfig(k=2, max_postings=10))
+    assert most_rows(top) < 10_000
+    assert sorted((r.q_row, r.cand_idx, r.score) for r in top.collect()) == [(q, c, 24) for q in range(200) for c in (0, 1)]
