@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import json
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from itertools import accumulate
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -26,6 +28,8 @@ from .features import FEATURE_NAMES
 VALIDATION_SHARE, SEED = 0.25, 42
 #: Hexadecimal digits by which the hashes of a split are counted.
 PREFIX_DIGITS = 4
+#: Training rows that a task of the learners takes.
+ROWS_PER_TASK = 32_768
 GBT_FOLDER, FOREST_FOLDER, METADATA_FOLDER = "gbt_model", "forest_model", "metadata"
 
 
@@ -110,16 +114,26 @@ class Ensemble:
 
 
 def fit_models(train: DataFrame, trees: int = 250, step: float = 0.06, depth: int = 6, share: float = 0.85, seed: int = SEED) -> Ensemble:
-    """Fit both learners on feature rows with ``is_match``; positives weigh negatives / positives."""
+    """Fit both learners on feature rows with ``is_match``; positives weigh negatives / positives.
+
+    A boosted tree takes two stages a level, one level after the other. Rows are dealt to as many tasks as
+    their number asks for, so that those stages compute and don't just start tasks. ``train`` should be
+    persisted, as it is read by that many tasks. Both learners run at the same time."""
     balance = metrics.class_balance(train).first()
+    tasks = math.ceil((balance["positives"] + balance["negatives"]) / ROWS_PER_TASK) or 1
     weighted = train.withColumn("_w", F.when(F.col("is_match") == 1, float(balance["scale_pos_weight"])).otherwise(1.0))
     weighted = weighted.withColumn("label", F.col("is_match").cast("double"))
     vectors = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
     common = {"labelCol": "label", "featuresCol": "features", "weightCol": "_w", "maxDepth": depth, "subsamplingRate": share, "seed": seed}
-    ready = vectors.transform(weighted).select("features", "label", "_w").persist()
+    ready = vectors.transform(weighted).select("features", "label", "_w").coalesce(tasks).persist()
     try:
-        gbt = GBTClassifier(maxIter=trees, stepSize=step, featureSubsetStrategy=str(share), **common).fit(ready)
-        forest = RandomForestClassifier(numTrees=trees, featureSubsetStrategy="sqrt", **common).fit(ready)
+        learners = (
+            GBTClassifier(maxIter=trees, stepSize=step, featureSubsetStrategy=str(share), **common),
+            RandomForestClassifier(numTrees=trees, featureSubsetStrategy="sqrt", **common),
+        )
+        ready.count()
+        with ThreadPoolExecutor(len(learners)) as pool:
+            gbt, forest = pool.map(inheritable_thread_target(train.sparkSession)(lambda learner: learner.fit(ready)), learners)
     finally:
         ready.unpersist()
     return Ensemble(PipelineModel([vectors, gbt]), PipelineModel([vectors, forest]))

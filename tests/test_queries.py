@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__
-from strandweave.operators import learn
+from strandweave.operators import blocking, learn
+from strandweave.operators.features import FEATURE_NAMES
 from strandweave.plans.queries import ORACLE_SQL, QUERIES
 
 from .oracle import assert_same
@@ -52,3 +53,21 @@ def test_whole_texts_are_read(spark, small, name, column):
     assert got.keys() == words.keys() and max(words.values()) > 1000
     # Legal forms, signs and addresses of sites go; of the words nearly all stay.
     assert sum(got.values()) > 0.9 * sum(words.values())
+
+
+def test_learners_get_as_many_tasks_as_the_rows_ask_for(spark, monkeypatch):
+    rows = spark.range(400).repartition(40)
+    rows = rows.select((rows.id % 4 == 0).cast("int").alias("is_match"), *[((rows.id * (i + 3)) % 17).cast("float").alias(f) for i, f in enumerate(FEATURE_NAMES)])
+    seen = []
+    for learner in (learn.GBTClassifier, learn.RandomForestClassifier):
+        monkeypatch.setattr(learner, "fit", lambda self, df, fit=learner.fit: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    ensemble = learn.fit_models(rows, trees=2)
+    assert seen == [1, 1] and ensemble.gbt.stages[-1].getNumTrees == ensemble.forest.stages[-1].getNumTrees == 2
+
+
+@pytest.mark.parametrize("name", ["q_importances"])
+def test_pairs_are_found_once(spark, small, monkeypatch, name):
+    find, fit, found = blocking._best_matches if hasattr(blocking, "_best_matches") else blocking.key_matches, learn.fit_models, []
+    monkeypatch.setattr(blocking, find.__name__, lambda *a: found.append(1) or find(*a))
+    monkeypatch.setattr(learn, "fit_models", lambda train: fit(train, trees=2))
+    assert QUERIES[name](spark, small).count() > 0 and found == [1]
