@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import cut_lineage
+
 COLUMNS = ["entity_id", "business_name", "business_address", "country"]
 ENTITY_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS])
 TRAIN_FILES = {"source1": "train_source1.tsv", "source2": "train_source2.tsv", "source3": "train_source3.tsv", "truth": "train_ground_truth.tsv"}
@@ -107,8 +109,9 @@ def _write_small(spark: SparkSession, path: str, text: str) -> None:
 
 def dense_numbers(df: DataFrame, order: str, name: str = "row_id") -> DataFrame:
     """Positions 0, 1, ... in the order of a unique column, without a sort in one task: ranges are
-    numbered from 0 each, and the ranges' sizes, one row a range, are summed up before them."""
-    ranged = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
+    numbered from 0 each, and the ranges' sizes, one row a range, are summed up before them. The rows are
+    written once, with their range: ranges come of samples, and another run might draw others."""
+    ranged = cut_lineage(df.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
     counts = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     starts = counts.withColumn("_s", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     place = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
@@ -183,7 +186,12 @@ def write_lists(lists: DataFrame, path: str, column: str) -> None:
     without headers, in the order of their names, and the header in a file of its own."""
     ordered = lists.orderBy("q_row").select(F.concat_ws("\t", F.coalesce("source1_entity_id", F.lit("")), F.coalesce(column, F.lit(""))).alias("value"))
     ordered.write.mode("overwrite").text(path)
-    _write_small(lists.sparkSession, f"{path}/{HEADER_FILE}", f"source1_entity_id\t{column}\n")
+    write_header(lists.sparkSession, path, ["source1_entity_id", column])
+
+
+def write_header(spark: SparkSession, path: str, columns: list[str]) -> None:
+    """The header of a folder of parts."""
+    _write_small(spark, f"{path}/{HEADER_FILE}", "\t".join(columns) + "\n")
 
 
 def merge_lists(spark: SparkSession, folder: str, file: str) -> None:

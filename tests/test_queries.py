@@ -7,6 +7,8 @@ from strandweave.operators import blocking, learn
 from strandweave.operators.features import FEATURE_NAMES
 from strandweave.plans.queries import ORACLE_SQL, QUERIES
 
+from strandweave.sources import tsv
+
 from .oracle import assert_same
 
 
@@ -65,9 +67,16 @@ def test_learners_get_as_many_tasks_as_the_rows_ask_for(spark, monkeypatch):
     assert seen == [1, 1] and ensemble.gbt.stages[-1].getNumTrees == ensemble.forest.stages[-1].getNumTrees == 2
 
 
-@pytest.mark.parametrize("name", ["q_importances"])
+@pytest.mark.parametrize("name", ["q_result_counters", "q_result_lines", "q_importances"])
 def test_pairs_are_found_once(spark, small, monkeypatch, name):
     find, fit, found = blocking._best_matches if hasattr(blocking, "_best_matches") else blocking.key_matches, learn.fit_models, []
     monkeypatch.setattr(blocking, find.__name__, lambda *a: found.append(1) or find(*a))
     monkeypatch.setattr(learn, "fit_models", lambda train: fit(train, trees=2))
     assert QUERIES[name](spark, small).count() > 0 and found == [1]
+
+
+def test_places_of_result_lines_come_from_ranges(spark, small, monkeypatch):
+    number, calls = tsv.dense_numbers, []
+    monkeypatch.setattr(tsv, "dense_numbers", lambda *a: calls.append(a[1:]) or number(*a))
+    places = [r.place for r in QUERIES["q_result_lines"](spark, small).filter("file = 'matching'").collect()]
+    assert calls == [("line", "place")] * 2 and sorted(places) == list(range(1, len(places) + 1))
