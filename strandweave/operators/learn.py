@@ -28,8 +28,10 @@ from .features import FEATURE_NAMES
 VALIDATION_SHARE, SEED = 0.25, 42
 #: Hexadecimal digits by which the hashes of a split are counted.
 PREFIX_DIGITS = 4
-#: Training rows that a task of the learners takes.
-ROWS_PER_TASK = 32_768
+#: Counts the training rows that are equal.
+TIMES = "n_rows"
+#: Training rows that a task of the learners takes, and at most if there are more tasks than cores.
+ROWS_PER_TASK, MOST_ROWS = 32_768, 131_072
 GBT_FOLDER, FOREST_FOLDER, METADATA_FOLDER = "gbt_model", "forest_model", "metadata"
 
 
@@ -81,9 +83,13 @@ class Ensemble:
 
     def score(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``prob_a``, ``prob_b``, ``prob`` and ``accepted``."""
+        return self.blended(self.probabilities(rows))
+
+    def blended(self, rows: DataFrame) -> DataFrame:
+        """``rows`` that have both probabilities, with ``prob`` and ``accepted``."""
         w = self.tuning.gbt_weight if self.tuning else 0.5
         t = self.tuning.optimal_threshold if self.tuning else 0.65
-        blended = self.probabilities(rows).withColumn("prob", w * F.col("prob_a") + (1.0 - w) * F.col("prob_b"))
+        blended = rows.withColumn("prob", w * F.col("prob_a") + (1.0 - w) * F.col("prob_b"))
         return blended.withColumn("accepted", F.col("prob") >= t)
 
     def importances(self, spark: SparkSession, top: int = 15) -> DataFrame:
@@ -116,16 +122,24 @@ class Ensemble:
 def fit_models(train: DataFrame, trees: int = 250, step: float = 0.06, depth: int = 6, share: float = 0.85, seed: int = SEED) -> Ensemble:
     """Fit both learners on feature rows with ``is_match``; positives weigh negatives / positives.
 
+    Rows that are equal become one that weighs as much as all of them. ``train`` may have done so in part and
+    count them in ``TIMES``. The learners draw their samples (``share``) of these rows.
+
     A boosted tree takes two stages a level, one level after the other. Rows are dealt to as many tasks as
-    their number asks for, so that those stages compute and don't just start tasks. ``train`` should be
-    persisted, as it is read by that many tasks. Both learners run at the same time."""
-    balance = metrics.class_balance(train).first()
-    tasks = math.ceil((balance["positives"] + balance["negatives"]) / ROWS_PER_TASK) or 1
-    weighted = train.withColumn("_w", F.when(F.col("is_match") == 1, float(balance["scale_pos_weight"])).otherwise(1.0))
-    weighted = weighted.withColumn("label", F.col("is_match").cast("double"))
+    their number asks for, so that those stages compute and don't just start tasks, and to no second wave of
+    tasks before they are many. Both learners run at the same time."""
+    times = F.col(TIMES) if TIMES in train.columns else F.lit(1).cast("long")
+    rows = cut_lineage(train.groupBy(*FEATURE_NAMES, "is_match").agg(F.sum(times).alias(TIMES)))
+    balance = metrics.class_balance(rows, TIMES).first()
+    n = rows.count()
+    tasks = min(math.ceil(n / ROWS_PER_TASK) or 1, max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / MOST_ROWS)))
+    weight = F.col(TIMES) * F.when(F.col("is_match") == 1, float(balance["scale_pos_weight"])).otherwise(1.0)
+    # The same rows in the same order on every run.
+    dealt = rows.repartition(tasks, *FEATURE_NAMES).sortWithinPartitions(*FEATURE_NAMES, "is_match")
+    weighted = dealt.withColumn("_w", weight).withColumn("label", F.col("is_match").cast("double"))
     vectors = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
     common = {"labelCol": "label", "featuresCol": "features", "weightCol": "_w", "maxDepth": depth, "subsamplingRate": share, "seed": seed}
-    ready = vectors.transform(weighted).select("features", "label", "_w").coalesce(tasks).persist()
+    ready = vectors.transform(weighted).select("features", "label", "_w").persist()
     try:
         learners = (
             GBTClassifier(maxIter=trees, stepSize=step, featureSubsetStrategy=str(share), **common),
@@ -140,8 +154,10 @@ def fit_models(train: DataFrame, trees: int = 250, step: float = 0.06, depth: in
 
 
 def tune(ensemble: Ensemble, validation: DataFrame, truth: DataFrame, recall: float = math.nan, ids: DataFrame | None = None) -> Tuning:
-    """Choose blend weight and threshold by macro F0.5 on validation pairs."""
-    scored = ensemble.probabilities(validation).select("s1_id", "cand_id", "prob_a", "prob_b")
+    """Choose blend weight and threshold by macro F0.5 on validation pairs, which may have their probabilities
+    already. ``truth`` as in :func:`metrics.grid`."""
+    scored = validation if "prob_b" in validation.columns else ensemble.probabilities(validation)
+    scored = scored.select("s1_id", "cand_id", "prob_a", "prob_b", "is_match")
     best = metrics.best_cell(metrics.grid(scored, truth, ids)).first()
     w, t, f = (best["weight"], best["threshold"], best["macro_f05"]) if best else (0.5, 0.65, math.nan)
     ensemble.tuning = Tuning("gbt_forest_blend", w, 1.0 - w, t, f, recall, list(FEATURE_NAMES))

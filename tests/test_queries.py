@@ -1,10 +1,12 @@
 """Every linkage query on the smallest tables, against its DuckDB SQL where there is one."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
-from strandweave.operators import blocking, learn
+from strandweave.operators import blocking, features, learn
 from strandweave.operators.features import FEATURE_NAMES
+from strandweave.plans import adapters, queries
 from strandweave.plans.queries import ORACLE_SQL, QUERIES
 
 from strandweave.sources import tsv
@@ -80,3 +82,31 @@ def test_places_of_result_lines_come_from_ranges(spark, small, monkeypatch):
     monkeypatch.setattr(tsv, "dense_numbers", lambda *a: calls.append(a[1:]) or number(*a))
     places = [r.place for r in QUERIES["q_result_lines"](spark, small).filter("file = 'matching'").collect()]
     assert calls == [("line", "place")] * 2 and sorted(places) == list(range(1, len(places) + 1))
+
+
+def test_kinds_agree_with_single_pairs(spark, small, tmp_path):
+    part = spark.read.parquet(f"{small}/part.parquet")
+    # Keys shifted by all moduli of the entities: equal texts in either source.
+    part.unionByName(part.withColumn("p_partkey", F.col("p_partkey") + 840)).write.parquet(f"{tmp_path}/part.parquet")
+    asked, pairs, kinds, sizes = queries._labelled_kinds(spark, str(tmp_path))
+    left, right = adapters.linked_sides(spark, str(tmp_path))
+    single = learn.group_split(adapters.with_labels(blocking.candidate_pairs(left, right), spark, str(tmp_path)))
+    single = features.pair_features(single, left, right)
+    joined = asked.join(pairs, "q_kind").withColumn("is_match", queries._matched()).join(kinds, queries.KIND)
+    columns = ["q_row", "s1_id", "cand_idx", "cand_id", "is_val", "is_match", *FEATURE_NAMES]
+    got, want = ({tuple(r) for r in df.select(columns).collect()} for df in (joined, single))
+    assert got == want and len(got) == pairs.join(asked, "q_kind").count() > 1.5 * kinds.count()
+    trained = [sum(not r[4] and r[5] == label for r in want) for label in (0, 1)]
+    assert tuple(kinds.agg(F.sum("n0"), F.sum("n1")).first()) == tuple(trained) and min(trained) > 0
+    truth = adapters.part_truth(spark, str(tmp_path)).groupBy("s1_id").count()
+    assert {tuple(r) for r in sizes.collect()} == {tuple(r) for r in truth.collect()}
+
+
+def test_equal_training_rows_are_one(spark, monkeypatch):
+    rows = spark.range(400).select((F.col("id") % 4 == 0).cast("int").alias("is_match"), *[((F.col("id") % 40) % (i + 2)).cast("float").alias(f) for i, f in enumerate(FEATURE_NAMES)])
+    seen, fit = [], learn.GBTClassifier.fit
+    monkeypatch.setattr(learn.GBTClassifier, "fit", lambda self, df: seen.append(tuple(df.agg(F.count("*"), F.sum("_w")).first())) or fit(self, df))
+    models = [learn.fit_models(df, trees=2) for df in (rows, rows.groupBy(*rows.columns).agg(F.count("*").alias(learn.TIMES)))]
+    # 40 kinds of rows; 300 negatives weigh 1 and 100 positives 3.
+    assert seen == [(40, 600.0)] * 2
+    assert models[0].gbt.stages[-1].toDebugString.split("\n", 1)[1] == models[1].gbt.stages[-1].toDebugString.split("\n", 1)[1]

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandweave.functions import similarity as S
@@ -100,3 +101,10 @@ def test_sequence_measures_and_cosine(spark):
         assert abs(r.s.name_token_set - plain_set(x, y)) < 1e-12, (x, y)
         assert r.s.name_jaro_winkler == r.s.addr_jaro_winkler == S.jaro_winkler(x, y)
         assert abs(r.c - plain_cosine(x, y)) < 1e-12, (x, y)
+
+
+def test_cosine_in_python_is_the_expression(spark):
+    texts = ["", "a", "ab c", "aaaa aaa", "new york street 10001", "york street 10001 new", "\u00e9t\u00e9 \U0001f600\U0001f600 x", "000 000 1", "ab\u00a0c"]
+    t = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    t = t.select(S.gram_cosine(F.col("a"), F.col("b")).alias("want"), S.sequence_measures(F.col("a"), F.col("b"), F.col("b"), F.col("a")).alias("s"))
+    assert all(r.want == r.s.name_char3_cosine == pytest.approx(r.s.addr_char3_cosine, abs=1e-15) for r in t.collect())
